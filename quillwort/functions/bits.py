@@ -55,6 +55,11 @@ class Bands:
         """Band number and band value in one long."""
         return part.bitwiseOR(F.lit(i << 40).cast("long"))
 
+    def variants(self, value: Column, i: int, masks: Column) -> Column:
+        """The keys of band i with each of the masks applied."""
+        part = self.part(value, i)
+        return F.transform(masks, lambda m: self.key(part.bitwiseXOR(m), i))
+
     def stored_keys(self, value: Column) -> Column:
         """The keys under which a hash is stored: each band as it is. An array of longs."""
         return F.array(*[self.key(self.part(value, i), i) for i in range(self.count)])
@@ -65,9 +70,7 @@ class Bands:
         for i, radius in enumerate(radii or self.radii):
             if radius < 0:
                 continue
-            masks = F.array(*[F.lit(m).cast("long") for m in self.flips(i, radius)])
-            part = self.part(value, i)
-            arrays.append(F.transform(masks, lambda m, part=part, i=i: self.key(part.bitwiseXOR(m), i)))
+            arrays.append(self.variants(value, i, F.lit(self.flips(i, radius)).cast("array<bigint>")))
         return F.flatten(F.array(*arrays))
 
     def first_meeting(self, a: Column, b: Column, radii: list[int] | None = None) -> Column:

@@ -15,7 +15,7 @@ def band_index(values: DataFrame, column: str, bands: Bands) -> DataFrame:
 
 
 def probe_index(probes: DataFrame, index: DataFrame, column: str, bands: Bands) -> DataFrame:
-    """(probe, stored, distance): every pair of distinct hashes within the threshold, once.
+    """(probe, stored, distance) and further columns of the index: every pair of distinct hashes within the threshold, once.
 
     Both sides are distinct hashes, so groups of copies never multiply. The join is an equi-join
     on the band key, which adaptive execution splits where a key is hot.
@@ -26,7 +26,7 @@ def probe_index(probes: DataFrame, index: DataFrame, column: str, bands: Bands)
     return (
         keyed.join(index, "key")
         .where((distance <= bands.threshold) & (F.col("key") == bands.first_meeting(F.col("probe"), F.col("stored"))))
-        .select("probe", "stored", distance.alias("distance"))
+        .select("probe", *[c for c in index.columns if c != "key"], distance.alias("distance"))
     )
 
 
