@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quillwort.functions.paths import file_key
 from quillwort.operators.orphans import orphan_references, orphan_report
-from quillwort.operators.rejects import FIELDS, load_lines
+from quillwort.operators.rejects import FIELDS, RULES, load_lines
 from quillwort.session import table
 
 
@@ -55,7 +55,7 @@ def p4_reasons(spark: SparkSession, d: str) -> DataFrame:
 def p4_records(spark: SparkSession, d: str) -> DataFrame:
     """The valid lines, loaded with their types; phash as the signed long with the same bits."""
     rows = load_lines(table(spark, d, "raw_candidate_lines")).where("reason is null")
-    number = F.col("phash").cast("decimal(20,0)")
+    number = F.col("phash").try_cast("decimal(20,0)")
     top = F.lit("18446744073709551616").cast("decimal(20,0)")
     signed = F.when(number >= F.lit("9223372036854775808").cast("decimal(20,0)"), number - top).otherwise(number).cast("long")
     typed = {
@@ -69,3 +69,55 @@ def p4_records(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {"p3_found": p3_found, "p3_report": p3_report, "p4_found": p4_found, "p4_reasons": p4_reasons, "p4_records": p4_records}
+
+_KEY = r"""nullif(regexp_replace(regexp_replace(array_to_string(list_filter(string_split(replace(regexp_replace({c}, '^\s+|\s+$', '', 'g'), '\', '/'), '/'), lambda x: x not in ('', '.')), '/'), '[^/]+/\.\./', '', 'g'), '[^/]+/\.\./', '', 'g'), '')"""
+_REFS = f"""refs as (
+  select record_id, 'relative_path' as ref_field, {_KEY.format(c='relative_path')} as key, audited_at as at from candidate_records
+  union all
+  select record_id, 'label_path', {_KEY.format(c='label_path')}, audited_at from candidate_records),
+stays as (
+  select 'relative_path' as ref_field, {_KEY.format(c='path')} as key, first_seen_at, removed_at from image_files
+  union all
+  select 'label_path', {_KEY.format(c='path')}, first_seen_at, removed_at from label_files),
+missed as (
+  select r.* from refs r where key is not null and not exists (
+    select 1 from stays s where s.ref_field = r.ref_field and s.key = r.key and s.first_seen_at <= r.at and (s.removed_at is null or s.removed_at > r.at)))"""
+_QUOTED = r"""(?:[^",]*|"(?:[^"]|"")*")"""
+_CHECKED = rf"""lines as (
+  select line_id, regexp_replace(raw, '\r$', '') as line from raw_candidate_lines
+  where coalesce(line_no, 0) <> 1 and regexp_matches(raw, '\S')),
+cut as (
+  select line_id, line, regexp_full_match(line, '{_QUOTED}(?:,{_QUOTED})*', 's') as quoted,
+    list_transform(regexp_extract_all(line || ',', '({_QUOTED}),', 1),
+      lambda x: case when starts_with(x, '"') then replace(x[2:-2], '""', '"') else x end) as f
+  from lines),
+checked as (
+  select line_id, f, coalesce(quoted and len(f) = 12 and f[1] <> '' and f[4] <> ''
+    and (f[2] = '' or (ends_with(f[2], '.txt') and not regexp_matches(f[2], '^(?:[/\\]|[A-Za-z]:)')))
+    and f[3] in ('train', 'val', 'test', 'unspecified')
+    and regexp_full_match(f[5], '[0-9a-f]{{64}}')
+    and (f[6] = '' or (regexp_full_match(f[6], '[0-9]+') and coalesce(try_cast(f[6] as hugeint) < 18446744073709551616::hugeint, false)))
+    and regexp_full_match(f[7], '[0-9]+') and regexp_full_match(f[8], '[0-9]+') and regexp_full_match(f[9], '[0-9]+')
+    and regexp_full_match(f[10], '{RULES["mapped_classes"].removeprefix("|")}|')
+    and f[11] in ('True', 'False')
+    and regexp_full_match(f[12], '{RULES["issues"].removeprefix("|")}|'), false) as good
+  from cut)"""
+
+SQL = {
+    "p3_found": f"with {_REFS} select record_id, ref_field from missed",
+    "p3_report": f"""
+        with {_REFS}
+        select case r.ref_field when 'relative_path' then 'image_files' else 'label_files' end as ref_table,
+          strftime(r.at, '%Y-%m') as month, count(*) as n_references, count(m.record_id) as n_orphans
+        from refs r left join missed m on m.record_id = r.record_id and m.ref_field = r.ref_field
+        where r.key is not null group by 1, 2""",
+    "p4_found": f"with {_CHECKED} select line_id from checked where not good",
+    "p4_records": f"""
+        with {_CHECKED}
+        select line_id, f[1] as relative_path, f[2] as label_path, f[3] as official_split, f[4] as group_id, f[5] as sha256,
+          case when f[6] = '' then null when f[6]::hugeint >= 9223372036854775808::hugeint
+            then (f[6]::hugeint - 18446744073709551616::hugeint)::bigint else f[6]::bigint end as phash,
+          f[7]::bigint as width, f[8]::bigint as height, f[9]::bigint as n_boxes, f[10] as mapped_classes,
+          f[11] = 'True' as empty_label, f[12] as issues
+        from checked where good""",
+}
