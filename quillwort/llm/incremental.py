@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillwort.functions.bits import Bands
+from quillwort.operators.dedupe import settle
 from quillwort.operators.hamming import near_values, probe_index
 from quillwort.session import durable, fresh_path, parallelism
 
@@ -54,37 +55,6 @@ class AcceptedIndex:
             target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def _settle(open_: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(image_id, digest, hash) of the open rows that are accepted, taken in order of image_id.
-
-    A row is accepted once no earlier row that is still possible repeats it, and dropped once an
-    accepted earlier row does; rows settle in rounds until none is left. Equal digests and hashes
-    meet as one value each, so a hot value is one row of a join, not a clique.
-    """
-    alive = F.when(F.col("state") != "dropped", F.col("image_id"))
-    taken = F.when(F.col("state") == "accepted", F.col("image_id"))
-    rows = open_.withColumn("state", F.lit("open"))
-    while True:
-        by_digest = rows.where("digest is not null").groupBy("digest").agg(F.min(alive).alias("da"), F.min(taken).alias("dt"))
-        by_hash = rows.where("hash is not null").groupBy(F.col("hash").alias("stored")).agg(F.min(alive).alias("a"), F.min(taken).alias("t"))
-        near = pairs.join(by_hash, "stored").groupBy(F.col("probe").alias("hash")).agg(F.min("a").alias("ha"), F.min("t").alias("ht"))
-        earlier = F.least("da", "ha") < F.col("image_id")
-        beaten = F.least("dt", "ht") < F.col("image_id")
-        rows = durable(
-            rows.join(by_digest, "digest", "left").join(near, "hash", "left")
-            .withColumn(
-                "state",
-                F.when(F.col("state") != "open", F.col("state"))
-                .when(beaten, "dropped")
-                .when(F.coalesce(earlier, F.lit(False)), "open")
-                .otherwise("accepted"),
-            )
-            .select("image_id", "digest", "hash", "state")
-        )
-        if rows.where("state = 'open'").isEmpty():
-            return rows.where("state = 'accepted'").select("image_id", "digest", "hash")
-
-
 def accept_batch(index: AcceptedIndex, batch: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(cases, accepted) of one batch of (image_id, digest, hash); the accepted rows join the index.
 
@@ -100,7 +70,7 @@ def accept_batch(index: AcceptedIndex, batch: DataFrame) -> tuple[DataFrame, Dat
     seen = durable(batch.join(index.same(batch), "digest", "left").join(index.nearest(batch), "hash", "left"))
     open_ = seen.where("same is null and near is null").select("image_id", "digest", "hash")
     pairs = durable(near_values(seen, open_, "hash", cut.threshold, cut.count))
-    accepted = durable(_settle(open_, pairs))
+    accepted = settle(open_.withColumnRenamed("image_id", "seq"), pairs).withColumnRenamed("seq", "image_id")
     new_same = accepted.where("digest is not null").select("digest", F.col("image_id").alias("new_same"))
     new_hash = accepted.where("hash is not null").select(F.col("hash").alias("stored"), F.col("image_id").alias("new_id"))
     rest = seen.join(accepted.select("image_id"), "image_id", "left_anti")
