@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillwort.plans import data_quality
+from quillwort.plans import data_quality, statistics
 
-MODULES = (data_quality,)
+MODULES = (statistics, data_quality)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
