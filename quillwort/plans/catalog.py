@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillwort.plans import data_quality, statistics
+from quillwort.plans import assignment, data_quality, statistics
 
-MODULES = (statistics, data_quality)
+MODULES = (statistics, assignment, data_quality)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
