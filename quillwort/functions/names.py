@@ -51,8 +51,8 @@ def computed_hash(c: Column | str) -> Column:
 
 
 def label_text(c: Column | str) -> Column:
-    """Class names for comparison: lower case, `-` and `_` as blanks, runs of blanks as one."""
-    return F.regexp_replace(F.translate(F.lower(F.trim(_col(c))), "-_", "  "), r"\s+", " ")
+    """Class names for comparison: trimmed lower case, `-` as `_`, runs of white space as one blank."""
+    return F.regexp_replace(F.translate(F.lower(F.trim(_col(c))), "-", "_"), r"\s+", " ")
 
 
 def safe_slug(c: Column | str) -> Column:

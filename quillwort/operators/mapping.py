@@ -9,9 +9,9 @@ from quillwort.functions.names import label_text
 
 #: The classes, and the names that mean them.
 ALIASES = {
-    "litter": ("litter", "trash", "garbage", "plastic", "waste", "debris", "floating debris", "plastic bottle", "bottle"),
-    "hyacinth": ("hyacinth", "water hyacinth", "eichhornia", "waterhyacinth"),
-    "entangled_plastic": ("entangled plastic", "entangled litter", "ent litter", "ent plastic"),
+    "hyacinth": ("hyacinth", "water_hyacinth", "water hyacinth", "eichhornia crassipes"),
+    "litter": ("litter", "floating_waste", "floating waste", "garbage"),
+    "entangled_plastic": ("ent_litter", "entangled_plastic", "entangled plastic"),
 }
 #: Both class ids of a name, of three classes and of two.
 CLASS_IDS = {"litter": (0, 0), "hyacinth": (1, 1), "entangled_plastic": (2, 0)}
@@ -25,10 +25,15 @@ def _lookup(pairs: dict[str, str], key: Column) -> Column:
 def alias_class(name: Column | str, explicit: dict[str, str] | None = None) -> Column:
     """The class a name means: an explicit mapping first, then the aliases; unknown names are null."""
     key = label_text(name)
-    wanted = {k.strip().lower().replace("-", " ").replace("_", " "): v for k, v in (explicit or {}).items()}
+    wanted = {normal_name(k): v for k, v in (explicit or {}).items()}
     return F.coalesce(_lookup(wanted, key), _lookup({a: c for c, names in ALIASES.items() for a in names}, key))
 
 
+def normal_name(name: str) -> str:
+    """What ``label_text`` makes of a name."""
+    return " ".join(name.strip().lower().replace("-", "_").split())
+
+
 def parse_mapping(pairs: list[str]) -> dict[str, str]:
     """`Source name=target` options as a mapping with normal keys."""
     out = {}
@@ -36,7 +41,9 @@ def parse_mapping(pairs: list[str]) -> dict[str, str]:
         source, found, target = pair.partition("=")
         if not found or not source.strip() or not target.strip():
             raise ValueError(f"not SOURCE=TARGET: {pair!r}")
-        out[" ".join(source.strip().lower().replace("-", " ").replace("_", " ").split())] = target.strip()
+        if normal_name(target) not in ALIASES:
+            raise ValueError(f"not a class: {target.strip()!r}")
+        out[normal_name(source)] = normal_name(target)
     return out
 
 

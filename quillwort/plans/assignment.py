@@ -10,7 +10,7 @@ from quillwort.plans.inputs import MANIFEST, manifest
 from quillwort.session import table
 
 #: The grid of thresholds of repeat-factor sampling.
-REPEAT_TS = [0.02, 0.05, 0.1, 0.2, 0.3, 0.5, 0.75, 1.0, 1.5, 2.0, 2.5, 3.0, 4.0, 5.0, 6.0]
+REPEAT_TS = [0.005, 0.01, 0.02, 0.05, 0.1, 0.2, 0.3, 0.5, 0.75, 1.0, 1.5, 2.0, 2.5, 3.0, 4.0]
 #: Which sources form the capped pool, and which of them gives way.
 POOL, DOMINANT = ("kanal_fx", "delta_uav", "weir_cam"), "kanal_fx"
 #: Sources whose groups share one namespace and are assigned together.
@@ -121,7 +121,7 @@ def o17_clip_holdout(spark: SparkSession, d: str) -> DataFrame:
     return sampling.sample_per_group(g.join(quota, "source"), ["source"], F.col("quota"), "group_key").select("source", "group_key")
 
 
-def p12_strided(spark: SparkSession, d: str) -> DataFrame:
+def pr12_strided(spark: SparkSession, d: str) -> DataFrame:
     return sampling.strided_sample(manifest(spark, d).where("source is not null").select("source", "row_id"), ["source"], "row_id", 300)
 
 
@@ -150,13 +150,13 @@ def w8_peaks(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     o1_greedy, o2_lightest, o3_choose, o4_joint_rows, o5_rank_sample, o7_quota, o8_cap, o9_budget, o10_repeat_grid, o10_choose_t, o11_repeats,
-    o12_largest_remainder, o13_stratified, o14_floors, o15_proposed, o16_top_pairs, o17_clip_holdout, p12_strided, w2_rank_groups, w5_first_k, w7_even_picks, w8_peaks,
+    o12_largest_remainder, o13_stratified, o14_floors, o15_proposed, o16_top_pairs, o17_clip_holdout, pr12_strided, w2_rank_groups, w5_first_k, w7_even_picks, w8_peaks,
 )}
 
 _UNIT = "case when source in ('lotus_a', 'lotus_b') then 'lotus' else source end"
 _GROUPS = f"""g as (select {_UNIT} as unit, group_key, count(*) as n from m where group_key is not null and source is not null group by 1, 2),
 i as (select *, row_number() over (partition by unit order by n desc, group_key) as i, sum(n) over (partition by unit) as total from g)"""
-_GREEDY = f"""greedy as (
+GREEDY = f"""greedy as (
   select unit, i::bigint as i, (case when n <= total * 0.8::double + 0.5 * n then n else 0 end)::bigint as a,
     (case when n <= total * 0.8::double + 0.5 * n then 0 when n <= total * 0.1::double + 0.5 * n then n else 0 end)::bigint as b,
     case when n <= total * 0.8::double + 0.5 * n then 'train' when n <= total * 0.1::double + 0.5 * n then 'val' else 'test' end as split
@@ -203,12 +203,12 @@ _SPLIT_TURN = """turn as (
   from turn p join i on i.unit = p.unit and i.i = p.i)"""
 
 SQL = {
-    "o1_greedy": f"with recursive {MANIFEST}, {_GROUPS}, {_GREEDY} select i.unit, i.group_key, i.n, w.split from greedy w join i using (unit, i)",
+    "o1_greedy": f"with recursive {MANIFEST}, {_GROUPS}, {GREEDY} select i.unit, i.group_key, i.n, w.split from greedy w join i using (unit, i)",
     "o2_lightest": f"with recursive {MANIFEST}, {_GROUPS}, {_LIGHT} select * from lightest",
-    "o3_choose": f"""with recursive {MANIFEST}, {_GROUPS}, {_GREEDY}, {_LIGHT}, done as (select i.unit, i.n, w.split from greedy w join i using (unit, i)),
+    "o3_choose": f"""with recursive {MANIFEST}, {_GROUPS}, {GREEDY}, {_LIGHT}, done as (select i.unit, i.n, w.split from greedy w join i using (unit, i)),
         a as ({_ratios('done')}), b as ({_ratios('lightest')})
         select a.unit, a.n_groups, a.err as greedy_err, b.err as lightest_err, case when a.err <= b.err then 'greedy' else 'lightest' end as chosen from a join b using (unit)""",
-    "o4_joint_rows": f"""with recursive {MANIFEST}, {_GROUPS}, {_GREEDY}, done as (select i.unit, i.group_key, w.split as new_split from greedy w join i using (unit, i))
+    "o4_joint_rows": f"""with recursive {MANIFEST}, {_GROUPS}, {GREEDY}, done as (select i.unit, i.group_key, w.split as new_split from greedy w join i using (unit, i))
         select source, new_split, count(*) as n_rows from m join done on done.unit = {_UNIT} and done.group_key = m.group_key group by 1, 2""",
     "o5_rank_sample": f"select doc_id from documents order by {_RANK.format(k='doc_id')}, doc_id limit 100",
     "o7_quota": f"""with {MANIFEST}, q as (select group_key, least(count(*) filter (n_boxes = 0), floor(count(*) filter (n_boxes > 0) * 0.15::double)) as quota from m where group_key is not null group by 1),
@@ -255,7 +255,7 @@ SQL = {
     "o17_clip_holdout": f"""with {MANIFEST}, g as (select distinct source, group_key from m where group_key is not null and source is not null),
         r as (select *, row_number() over (partition by source order by {_RANK.format(k='group_key')}, group_key) as i, ceil(count(*) over (partition by source) * 0.3::double) as q from g)
         select source, group_key from r where i <= q""",
-    "p12_strided": f"with {MANIFEST}, {_STRIDE} select source, row_id from k where i % greatest(1, n // 300) = 0",
+    "pr12_strided": f"with {MANIFEST}, {_STRIDE} select source, row_id from k where i % greatest(1, n // 300) = 0",
     "w2_rank_groups": f"with {MANIFEST}, {_GROUPS} select unit, group_key, n, i as place from i where i <= 10",
     "w5_first_k": f"with {MANIFEST}, {_STRIDE} select source, row_id from k where i % greatest(1, n // 20) = 0 and i // greatest(1, n // 20) < 20",
     "w7_even_picks": f"with {MANIFEST}, {_STRIDE} select source, row_id from k where i % greatest(1, n // 5) = 0 and i // greatest(1, n // 5) < 5",

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillwort.plans import assignment, data_quality, statistics
+from quillwort.plans import assignment, data_quality, lookups, scalars, similarity, statistics, streams, validation
 
-MODULES = (statistics, assignment, data_quality)
+MODULES = (statistics, assignment, lookups, scalars, similarity, validation, streams, data_quality)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -20,4 +20,4 @@ def sql() -> dict[str, str]:
 
 
 def flagship(spark: SparkSession, d: str) -> DataFrame:
-    return data_quality.p3_report(spark, d)
+    return validation.flagship(spark, d)

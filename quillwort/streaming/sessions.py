@@ -64,11 +64,19 @@ def thin_frames(frames: DataFrame, clip: str, seq: str, fingerprint: str, thresh
     return chosen.groupBy(clip).applyInPandasWithState(run, f"{clip} string, {seq} long", "kept array<long>", "append", "NoTimeout")
 
 
-def run_available(query: DataFrame, name: str, checkpoint: str, mode: str = "append", timeout: int = 600) -> DataFrame:
-    """Run a stream over what is there, into an in-memory table, and return the table; stops after ``timeout`` seconds."""
-    started = query.writeStream.outputMode(mode).format("memory").queryName(name).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def run_available(query: DataFrame, path: str, timeout: int = 600) -> DataFrame:
+    """Run a stream over what is there into parquet files below ``path``, and return them as a table.
+
+    Files are committed exactly once; results that the watermark has not passed stay in the state.
+    Stops after ``timeout`` seconds at the latest.
+    """
+    started = (
+        query.writeStream.outputMode("append").format("parquet").option("path", f"{path}/table")
+        .option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start()
+    )
     try:
-        started.awaitTermination(timeout)
+        if not started.awaitTermination(timeout):
+            raise TimeoutError(f"the stream did not end within {timeout} s")
     finally:
         started.stop()
-    return query.sparkSession.table(name)
+    return query.sparkSession.read.schema(query.schema).parquet(f"{path}/table")
