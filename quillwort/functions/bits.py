@@ -36,8 +36,8 @@ class Bands:
     """
 
     def __init__(self, threshold: int = 8, bands: int = 5):
-        if not 0 <= threshold < 64 or not 1 <= bands <= 16:
-            raise ValueError("threshold from 0 to 63 and 1 to 16 bands are possible")
+        if not 0 <= threshold < 64 or not 2 <= bands <= 16:
+            raise ValueError("threshold from 0 to 63 and 2 to 16 bands are possible")
         self.threshold, self.count = threshold, bands
         self.widths = [64 // bands + (i < 64 % bands) for i in range(bands)]
         self.shifts = [sum(self.widths[i + 1 :]) for i in range(bands)]

@@ -142,7 +142,7 @@ def orphan_report(references: DataFrame, orphans: DataFrame, period: Column) ->
     missed = orphans.select("row", "field").distinct().withColumn("missed", F.lit(1))
     return (
         references.where("key is not null")
-        .withColumn("period", period)
+        .select("row", "field", period.alias("period"))
         .join(missed, ["row", "field"], "left")
         .groupBy("field", "period")
         .agg(F.count("*").alias("n_references"), F.count("missed").alias("n_orphans"))

@@ -44,7 +44,7 @@ def scan_incumbents(spark: SparkSession, root: str, candidate_root: str, skipped
 
 def read_labels(spark: SparkSession, root: str) -> DataFrame:
     """(path, stem, line_no, line) of all label files below a folder, one row per line."""
-    texts = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").text(root)
+    texts = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").text(root, wholetext=True)
     lines = texts.select(F.input_file_name().alias("path"), F.posexplode(F.split("value", r"\r?\n")).alias("pos", "line"))
     return lines.select("path", stem("path").alias("stem"), (F.col("pos") + 1).alias("line_no"), "line")
 
