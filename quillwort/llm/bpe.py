@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 #: Fixed value: the pattern that cuts a text into the pieces within which bytes are merged.
 PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -236,4 +237,4 @@ def encode(documents: DataFrame, doc_id: str, text: str, vocabulary: str = VOCAB
                 lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(begin, end - begin), lists], [doc_id, out])
 
-    return documents.select(doc_id, text).mapInArrow(run, f"{doc_id} long, {out} array<int>")
+    return documents.select(F.col(doc_id).cast("long"), F.col(text)).mapInArrow(run, f"{doc_id} long, {out} array<int>")

@@ -10,6 +10,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 #: Words of a window.
 WINDOW = 12
@@ -183,6 +184,6 @@ def leaked_items(
                         [b.column(0).take(pa.array(pairs[:, 0])), pa.array(pairs[:, 1], pa.int64())], [doc_id, item_id]
                     )
 
-        part = documents.select(doc_id, text).mapInArrow(run, schema)
+        part = documents.select(F.col(doc_id).cast("long"), F.col(text)).mapInArrow(run, schema)
         out = part if out is None else out.unionByName(part)
     return out

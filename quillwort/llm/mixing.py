@@ -19,6 +19,7 @@ def source_sizes(records: DataFrame, targets: DataFrame) -> DataFrame:
     that the capacity is the smaller. Sources without records have size 0; records without a
     target count for nothing. Null shares and repeats count as 0.
     """
+    targets = targets.select("source", "key", "target_share", "max_repeat")
     summed = records.groupBy("key").agg(F.sum("size").alias("size"), F.count("*").alias("n_records"))
     joined = targets.join(summed, "key", "left").select(
         "source", "key",
@@ -100,7 +101,7 @@ def mix(
     the number of records. ``targets`` must be a table of that kind: few rows, keys unique.
     """
     spark = records.sparkSession
-    sized = records.where("size > 0").withColumn("block", F.pmod(F.xxhash64(F.lit(seed), record_id), F.lit(blocks)).cast("int"))
+    sized = records.select("key", record_id, F.col("size").cast("long").alias("size")).where("size > 0").withColumn("block", F.pmod(F.xxhash64(F.lit(seed), record_id), F.lit(blocks)).cast("int"))
     plan = {r["key"]: r for r in source_sizes(records, targets).collect()}
     of_targets = sized.where(F.col("key").isin(*plan)) if plan else sized.limit(0)
     measured = of_targets.groupBy("key", "block").agg(F.sum("size").alias("size")).collect()

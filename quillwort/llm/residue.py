@@ -253,7 +253,7 @@ def residue(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", ho
                     ["doc", "host", "text", "numbers", "kinds"],
                 )
 
-    marked = documents.where(F.col(text).isNotNull()).select(F.col(doc_id), F.col(text), source.alias("host"))
+    marked = documents.where(F.col(text).isNotNull()).select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text"), source.alias("host"))
     marked = marked.mapInArrow(run, "doc long, host string, text string, numbers array<int>, kinds array<string>")
     marked = durable(marked.withColumn("row", F.monotonically_increasing_id()))
     single = marked.select("doc", "host", "row", "numbers", "kinds", F.posexplode(line_keys(F.col("text"))).alias("number", "line"))
