@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillwort.operators.hamming import near_values
-from quillwort.session import durable
+from quillwort.session import discard, durable
 
 
 def settle(rows: DataFrame, pairs: DataFrame, kept: Column | None = None) -> DataFrame:
@@ -22,17 +24,19 @@ def settle(rows: DataFrame, pairs: DataFrame, kept: Column | None = None) -> Dat
     taken = F.when(F.col("state") == "kept", F.col("seq"))
     state = F.lit("open") if kept is None else F.when(F.coalesce(kept, F.lit(False)), "kept").otherwise("open")
     rows = rows.withColumn("state", state).select("seq", "digest", "hash", "state")
-    while True:
+    for round_ in count(1):
         by_digest = rows.where("digest is not null").groupBy("digest").agg(F.min(alive).alias("da"), F.min(taken).alias("dt"))
         by_hash = rows.where("hash is not null").groupBy(F.col("hash").alias("stored")).agg(F.min(alive).alias("a"), F.min(taken).alias("t"))
         near = pairs.join(by_hash, "stored").groupBy(F.col("probe").alias("hash")).agg(F.min("a").alias("ha"), F.min("t").alias("ht"))
         earlier = F.coalesce(F.least("da", "ha") < F.col("seq"), F.lit(False))
         beaten = F.least("dt", "ht") < F.col("seq")
-        rows = durable(
+        before, rows = rows, durable(
             rows.join(by_digest, "digest", "left").join(near, "hash", "left")
             .withColumn("state", F.when(F.col("state") != "open", F.col("state")).when(beaten, "dropped").when(earlier, "open").otherwise("kept"))
             .select("seq", "digest", "hash", "state")
         )
+        if round_ > 1:
+            discard(before)
         if rows.where("state = 'open'").isEmpty():
             return rows.where("state = 'kept'").select("seq", "digest", "hash")
 

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillwort.session import durable, parallelism
+from quillwort.session import parallelism, pinned
 
 _NEVER = np.iinfo(np.int64).max
 
@@ -122,7 +122,7 @@ def orphan_references(references: DataFrame, parents: DataFrame, ranges: int | N
         .withColumn("part", F.spark_partition_id())
         .sortWithinPartitions(F.abs("step").desc())
     )
-    ranged = durable(ranged)
+    ranged = pinned(ranged)
     edges = sorted(
         ranged.select("part", "key", "step").mapInPandas(_edges, "part int, first string, last string, net long, single boolean").collect()
     )

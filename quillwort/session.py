@@ -53,10 +53,34 @@ def shared_dir(spark: SparkSession) -> str:
     return configured
 
 
-def durable(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint, so that a lost executor costs no recomputation."""
+def durable(df: DataFrame) -> DataFrame:
+    """Cut the lineage: the rows as a table in the shared folder, so that a lost executor costs no recomputation.
+
+    A table also has its true size. A checkpoint would keep the size that was estimated for the
+    plan behind it, and in a loop of joins such estimates multiply from round to round, until
+    planning is what takes the time. The JVM deletes the table when it ends.
+    """
+    spark = df.sparkSession
+    path = fresh_path(spark, "cut")
+    df.write.parquet(path)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(df: DataFrame) -> None:
+    """Delete a table that ``durable`` wrote and nothing will read again."""
+    spark = df.sparkSession
+    for folder in {os.path.dirname(f) for f in df.inputFiles()}:
+        if os.path.basename(folder).startswith("cut-"):
+            place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def pinned(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a reliable checkpoint, which keeps partitions and the order within them."""
     shared_dir(df.sparkSession)
-    return df.checkpoint(eager)
+    return df.checkpoint()
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
@@ -66,3 +90,13 @@ def fresh_path(spark: SparkSession, label: str) -> str:
 
 def parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def spread(df: DataFrame, per_core: int = 3) -> DataFrame:
+    """The rows over at least ``per_core`` tasks per core, for work that costs far more than moving the rows.
+
+    A small or well compressed table is read by few tasks, and a row group cannot be cut further. A
+    table that already has enough partitions stays where it is, so nothing moves at large sizes.
+    """
+    wanted = per_core * df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted)
