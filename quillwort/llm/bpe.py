@@ -12,6 +12,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillwort.session import spread
+
 #: Fixed value: the pattern that cuts a text into the pieces within which bytes are merged.
 PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Where the public vocabularies are found unless another path is given.
@@ -209,8 +211,7 @@ def encode(documents: DataFrame, doc_id: str, text: str, vocabulary: str = VOCAB
 
     The vocabulary is read once by the driver and sent to the workers (its size is that of a file
     of tens of thousands of tokens). Null and empty texts have an empty list of ids; strings that
-    look like special tokens are ordinary text. Every row gives a row, repeated ones too. A narrow
-    map: no shuffle, and texts are taken in slices of bounded size whatever the batch.
+    look like special tokens are ordinary text. Every row gives a row, repeated ones too. Texts are taken in slices of bounded size whatever the batch.
     """
     spark = documents.sparkSession
     ranks = spark.sparkContext.broadcast(read_ranks(vocabulary))
@@ -237,4 +238,4 @@ def encode(documents: DataFrame, doc_id: str, text: str, vocabulary: str = VOCAB
                 lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(begin, end - begin), lists], [doc_id, out])
 
-    return documents.select(F.col(doc_id).cast("long"), F.col(text)).mapInArrow(run, f"{doc_id} long, {out} array<int>")
+    return spread(documents.select(F.col(doc_id).cast("long"), F.col(text))).mapInArrow(run, f"{doc_id} long, {out} array<int>")

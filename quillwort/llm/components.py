@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillwort.session import durable
+from quillwort.session import discard, durable
 
 #: A component with at least this share of all rows is placed before the others; so there are at most 1 / share.
 LARGE_SHARE = 1 / 1000
@@ -37,11 +37,12 @@ def _grow(edges: DataFrame) -> DataFrame:
             .groupBy(F.col("dst").alias("node"))
             .agg(F.min("seed").alias("reached"))
         )
-        labels = durable(
+        before, labels = labels, durable(
             labels.select("node", "seed")
             .join(reached, "node", "left")
             .select("node", F.coalesce("seed", "reached").alias("seed"), (F.col("seed").isNull() & F.col("reached").isNotNull()).alias("new"))
         )
+        discard(before)
         frontier = labels.where("new").select("node", "seed")
         open_ = labels.where("seed is null").select("node")
     return labels.select("node", "seed")

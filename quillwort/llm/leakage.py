@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillwort.session import spread
+
 #: Words of a window.
 WINDOW = 12
 #: Windows that one index holds; with more, the corpus is read once for each block of items.
@@ -137,10 +139,10 @@ def leaked_items(
     recall stated in the README; candidates are still verified exactly.
 
     ``items`` is the stated query set: held-out material of bounded size, read by the driver and sent
-    to the workers in blocks of at most ``INDEXED`` windows. Documents stay where they are: no
-    shuffle, and a document is handled whole, whatever its length. A window can only be within
-    max_edits of an item's if at most max_edits of its words are foreign to all items, so others
-    are not embedded.
+    to the workers in blocks of at most ``INDEXED`` windows. Documents are mapped where they are,
+    spread over more tasks only if few read them, and each is handled whole, whatever its length. A
+    window can only be within max_edits of an item's if at most max_edits of its words are foreign
+    to all items, so others are not embedded.
 
     Null, empty and short texts hold no window. A pair comes out once per row of the document, and
     items listed twice count once. Without items there are no pairs.
@@ -157,6 +159,7 @@ def leaked_items(
             size = 0
         blocks[-1].append(item)
         size += len(item[1])
+    texts = spread(documents.select(F.col(doc_id).cast("long"), F.col(text)))
     out = None
     for block in blocks:
         index = spark.sparkContext.broadcast(WindowIndex(block, max_edits, repetitions, sampled, seed))
@@ -184,6 +187,6 @@ def leaked_items(
                         [b.column(0).take(pa.array(pairs[:, 0])), pa.array(pairs[:, 1], pa.int64())], [doc_id, item_id]
                     )
 
-        part = documents.select(F.col(doc_id).cast("long"), F.col(text)).mapInArrow(run, schema)
+        part = texts.mapInArrow(run, schema)
         out = part if out is None else out.unionByName(part)
     return out

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillwort.session import durable
+from quillwort.session import durable, spread
 
 #: A line is boilerplate of its host if it stands in so many of its documents, and in this share of them.
 RECURRENT, RECURRENT_SHARE = 20, 0.02
@@ -254,7 +254,7 @@ def residue(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", ho
                 )
 
     marked = documents.where(F.col(text).isNotNull()).select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text"), source.alias("host"))
-    marked = marked.mapInArrow(run, "doc long, host string, text string, numbers array<int>, kinds array<string>")
+    marked = spread(marked).mapInArrow(run, "doc long, host string, text string, numbers array<int>, kinds array<string>")
     marked = durable(marked.withColumn("row", F.monotonically_increasing_id()))
     single = marked.select("doc", "host", "row", "numbers", "kinds", F.posexplode(line_keys(F.col("text"))).alias("number", "line"))
     own = (
