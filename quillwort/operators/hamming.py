@@ -18,13 +18,15 @@ def probe_index(probes: DataFrame, index: DataFrame, column: str, bands: Bands)
     """(probe, stored, distance) and further columns of the index: every pair of distinct hashes within the threshold, once.
 
     Both sides are distinct hashes, so groups of copies never multiply. The join is an equi-join
-    on the band key, which adaptive execution splits where a key is hot.
+    on the band key, which adaptive execution splits where a key is hot. It is a merge join by hint:
+    a side that looks small before its keys are spread out would be broadcast otherwise, and the
+    other would stay in the few tasks that its hashes fit into.
     """
     distinct = probes.select(F.col(column).alias("probe")).where("probe is not null").distinct()
     keyed = distinct.select(F.explode(bands.probe_keys(F.col("probe"))).alias("key"), "probe")
     distance = hamming(F.col("probe"), F.col("stored"))
     return (
-        keyed.join(index, "key")
+        keyed.hint("merge").join(index, "key")
         .where((distance <= bands.threshold) & (F.col("key") == bands.first_meeting(F.col("probe"), F.col("stored"))))
         .select("probe", *[c for c in index.columns if c != "key"], distance.alias("distance"))
     )
