@@ -88,7 +88,7 @@ def rare_prefix_pairs(held: DataFrame, train: DataFrame, column: str, threshold:
     indexed = indexed.select("held", "radii", F.explode(prefix.keys(F.col("held"), F.col("radii"))).alias("key"))
     distance = hamming(F.col("held"), F.col("train"))
     return (
-        indexed.join(shingled, "key")
+        indexed.hint("merge").join(shingled, "key")  # by hint, as a side looks small before its keys are spread out
         .where(F.abs(F.bit_count("held") - F.bit_count("train")) <= threshold)
         .where(distance <= threshold)
         .where(prefix.meets_first(F.col("held"), F.col("radii"), F.col("train"), F.col("key")))
