@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillwort.functions.bits import Bands, hamming
 
+#: Bank rows that one step holds against a block of queries, and an id beyond all ids.
+_AT_ONCE, _TOP = 1024, np.iinfo(np.int64).max
+
 
 def band_index(values: DataFrame, column: str, bands: Bands) -> DataFrame:
     """The stored side: (key, stored), one row per band of each distinct non-null hash."""
@@ -41,27 +48,39 @@ def near_values(left: DataFrame, right: DataFrame, column: str, threshold: int =
     return probe_index(left, band_index(right, column, cut), column, cut)
 
 
-def nearest(
-    queries: DataFrame, bank: DataFrame, query_id: str, bank_id: str, column: str, block: int = 512
-) -> DataFrame:
+def nearest(queries: DataFrame, bank: DataFrame, query_id: str, bank_id: str, column: str, block: int = 4096) -> DataFrame:
     """Each query row's nearest bank row: (query_id, nearest_id, distance); ties to the smallest bank id.
 
     The distance is unbounded, so no key can prune: a stated query set is held against all rows of
-    the bank. Bank rows with equal hashes count as one, with the smallest id. The query hashes, also
-    distinct, are put into arrays of about ``block`` values, and the best match is kept per query and
-    task before the shuffle. Queries with a null hash, and all queries
-    if the bank is empty, have a null match.
+    the bank, in blocks of about ``block`` distinct query hashes, and each task passes on one best
+    match per query hash. Queries with a null hash, and all queries if the bank is empty, have a
+    null match.
     """
-    banked = bank.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("b")).agg(F.min(bank_id).alias("id"))
+    rows = bank.where(F.col(column).isNotNull()).select(F.col(bank_id).cast("long").alias("id"), F.col(column).alias("b"))
     hashes = queries.select(F.col(column).alias("q")).where("q is not null").distinct()
     n = max(1, -(-hashes.count() // block))
-    blocks = hashes.groupBy(F.pmod(F.xxhash64("q"), F.lit(n)).alias("part")).agg(F.collect_list("q").alias("qs"))
-    best = (
-        banked.join(blocks)
-        .select(F.explode("qs").alias("q"), "b", "id")
-        .groupBy("q")
-        .agg(F.min(F.struct(hamming(F.col("q"), F.col("b")).alias("distance"), F.col("id").alias("id"))).alias("m"))
-    )
-    return queries.join(best, F.col(column) == F.col("q"), "left").select(
+    found = None
+    for part in range(n):
+        own = hashes.where(F.pmod(F.xxhash64("q"), F.lit(n)) == part).toPandas()["q"].to_numpy(np.int64)
+        asked = queries.sparkSession.sparkContext.broadcast(own)
+
+        def run(batches: Iterator[pd.DataFrame], asked=asked) -> Iterator[pd.DataFrame]:
+            q = asked.value
+            best, who = np.full(len(q), 65, np.int64), np.full(len(q), _TOP, np.int64)
+            for batch in batches:
+                for low in range(0, len(batch), _AT_ONCE):
+                    ids = batch["id"].to_numpy(np.int64)[low : low + _AT_ONCE]
+                    apart = np.bitwise_count((q[:, None] ^ batch["b"].to_numpy(np.int64)[low : low + _AT_ONCE]).view(np.uint64))
+                    least = apart.min(axis=1).astype(np.int64)
+                    first = np.where(apart == least[:, None], ids, _TOP).min(axis=1)
+                    better = (least < best) | ((least == best) & (first < who))
+                    best, who = np.where(better, least, best), np.where(better, first, who)
+            hit = best < 65
+            yield pd.DataFrame({"q": q[hit], "distance": best[hit].astype(np.int32), "id": who[hit]})
+
+        matches = rows.mapInPandas(run, "q long, distance int, id long")
+        found = matches if found is None else found.unionByName(matches)
+    best = found.groupBy("q").agg(F.min(F.struct("distance", "id")).alias("m"))
+    return queries.select(query_id, column).join(best, F.col(column) == F.col("q"), "left").select(
         query_id, F.col("m.id").alias("nearest_id"), F.col("m.distance").alias("distance")
     )

@@ -60,6 +60,12 @@ def test_nearest_ties_nulls_and_empty_bank(spark):
     bank = spark.createDataFrame([(5, 0b11), (3, 0b11), (9, None)], "id long, hash long")
     ask = spark.createDataFrame([(1, 0b01), (2, None)], "id long, hash long")
     assert sorted(map(tuple, nearest(ask, bank, "id", "id", "hash").collect())) == [(1, 3, 1), (2, None, None)]
+    assert sorted(map(tuple, nearest(bank, bank, "id", "id", "hash", block=1).collect())) == [(3, 3, 0), (5, 3, 0), (9, None, None)]
+    rng = Random(3)
+    a, b = some_hashes(rng, 60), some_hashes(rng, 3000)
+    rows = lambda hs: spark.createDataFrame(list(enumerate(hs)), "id long, hash long")
+    want = [(i, *min((far(h, g), j) for j, g in enumerate(b))[::-1]) for i, h in enumerate(a)]
+    assert sorted(map(tuple, nearest(rows(a), rows(b), "id", "id", "hash", block=20).collect())) == want
     assert sorted(map(tuple, nearest(ask, bank.limit(0), "id", "id", "hash").collect())) == [(1, None, None), (2, None, None)]
 
 
