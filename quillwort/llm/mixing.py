@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 #: Blocks that a source's records are cut into, by hash. The driver sees sources x blocks x passes sizes.
 BLOCKS = 256
+#: Output shards at least, and records for each shard beyond that.
+LEAST_SHARDS, SHARD_ROWS = 64, 1_000_000
 
 
 def source_sizes(records: DataFrame, targets: DataFrame) -> DataFrame:
@@ -88,7 +90,7 @@ def _plan(blocks: list, quotas: dict[str, float], repeats: dict[str, int], shard
 
 
 def mix(
-    records: DataFrame, targets: DataFrame, record_id: str, shards: int = 64, blocks: int = BLOCKS, seed: int = 42
+    records: DataFrame, targets: DataFrame, record_id: str, shards: int | None = None, blocks: int = BLOCKS, seed: int = 42
 ) -> DataFrame:
     """(shard, position, source, record_id, pass, size): the mixture, shuffled within its shards.
 
@@ -98,11 +100,13 @@ def mix(
     taken if at least half of it fits. Records of size 0 are not drawn, as no share needs them.
 
     The driver holds at most targets x blocks x max_repeat rows of block sizes and places, whatever
-    the number of records. ``targets`` must be a table of that kind: few rows, keys unique.
+    the number of records. Without a number of ``shards`` there are ``LEAST_SHARDS``, or one for each
+    ``SHARD_ROWS`` records, but no more than blocks are drawn. ``targets`` must be a table of that kind: few rows, keys unique.
     """
     spark = records.sparkSession
     sized = records.select("key", record_id, F.col("size").cast("long").alias("size")).where("size > 0").withColumn("block", F.pmod(F.xxhash64(F.lit(seed), record_id), F.lit(blocks)).cast("int"))
     plan = {r["key"]: r for r in source_sizes(records, targets).collect()}
+    shards = shards or max(LEAST_SHARDS, -(-sum(r["n_records"] for r in plan.values()) // SHARD_ROWS))
     of_targets = sized.where(F.col("key").isin(*plan)) if plan else sized.limit(0)
     measured = of_targets.groupBy("key", "block").agg(F.sum("size").alias("size")).collect()
     whole, cut = _plan(
