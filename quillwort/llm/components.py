@@ -1,4 +1,8 @@
-"""Connected components by frontier search from many seeds, and splits that keep components together."""
+"""Connected components by frontier search from many seeds, and splits that keep components together.
+
+Joins of tables that grow with the data are merge joins by hint: written tables are compressed, and
+one that looks small enough to broadcast may be many times as large in memory.
+"""
 
 from __future__ import annotations
 
@@ -33,13 +37,13 @@ def _grow(edges: DataFrame) -> DataFrame:
     while not open_.isEmpty():
         reached = (
             frontier.withColumnRenamed("node", "src")
-            .join(edges, "src")
+            .join(edges.hint("merge"), "src")
             .groupBy(F.col("dst").alias("node"))
             .agg(F.min("seed").alias("reached"))
         )
         before, labels = labels, durable(
             labels.select("node", "seed")
-            .join(reached, "node", "left")
+            .join(reached.hint("merge"), "node", "left")
             .select("node", F.coalesce("seed", "reached").alias("seed"), (F.col("seed").isNull() & F.col("reached").isNotNull()).alias("new"))
         )
         discard(before)
@@ -66,8 +70,8 @@ def components(edges: DataFrame) -> DataFrame:
         return level.select(F.col("src").alias("node"), F.col("dst").alias("component"))
     labels = _grow(level)
     touching = (
-        level.join(labels.select(F.col("node").alias("src"), F.col("seed").alias("a")), "src")
-        .join(labels.select(F.col("node").alias("dst"), F.col("seed").alias("b")), "dst")
+        level.join(labels.select(F.col("node").alias("src"), F.col("seed").alias("a")).hint("merge"), "src")
+        .join(labels.select(F.col("node").alias("dst"), F.col("seed").alias("b")).hint("merge"), "dst")
         .where("a <> b")
         .select("a", "b")
         .distinct()
@@ -76,7 +80,7 @@ def components(edges: DataFrame) -> DataFrame:
     if touching.isEmpty():
         return labels.select("node", F.col("seed").alias("component"))
     merged = components(touching).select(F.col("node").alias("seed"), F.col("component").alias("merged"))
-    return labels.join(merged, "seed", "left").select("node", F.coalesce("merged", "seed").alias("component"))
+    return labels.join(merged.hint("merge"), "seed", "left").select("node", F.coalesce("merged", "seed").alias("component"))
 
 
 def linked_groups(records: DataFrame, row_id: str, keys: list[str]) -> DataFrame:
@@ -90,13 +94,13 @@ def linked_groups(records: DataFrame, row_id: str, keys: list[str]) -> DataFrame
     first = F.coalesce(*named, F.concat(F.lit("row:"), F.col(row_id).cast("string")))
     long = records.select(row_id, F.explode(F.array_compact(F.array(*named))).alias("key"))
     shared = long.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    nodes = long.join(shared, "key")
+    nodes = long.join(shared.hint("merge"), "key")
     hub = nodes.groupBy(row_id).agg(F.min("key").alias("a"), F.collect_set("key").alias("ks"))
     edges = hub.where(F.size("ks") > 1).select("a", F.explode("ks").alias("b")).where("a <> b").distinct()
     labels = components(edges)
-    anchor = hub.select(row_id, "a").join(labels.withColumnRenamed("node", "a"), "a", "left")
+    anchor = hub.select(row_id, "a").join(labels.withColumnRenamed("node", "a").hint("merge"), "a", "left")
     anchor = anchor.select(row_id, F.coalesce("component", "a").alias("component"))
-    return records.select(row_id, first.alias("alone")).join(anchor, row_id, "left").select(row_id, F.coalesce("component", "alone").alias("component"))
+    return records.select(row_id, first.alias("alone")).join(anchor.hint("merge"), row_id, "left").select(row_id, F.coalesce("component", "alone").alias("component"))
 
 
 def assign_splits(sizes: DataFrame, targets: DataFrame) -> DataFrame:

@@ -27,16 +27,16 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
         F.concat_ws(":", source_key("source"), "group_id").alias("spelled"),
     )
     cells = durable(rows.where("group_key is not null").groupBy("group_key", "spelled", "now").agg(F.min("row_id").alias("row_id")))
-    linked = cells.join(linked_groups(cells, "row_id", ["group_key", "spelled"]), "row_id")
+    linked = cells.join(linked_groups(cells, "row_id", ["group_key", "spelled"]).hint("merge"), "row_id")
     named = linked.groupBy("component").agg(F.min("group_key").alias("group_key"))
-    return torn_components(linked, "now").join(named, "component").select("group_key")
+    return torn_components(linked, "now").join(named.hint("merge"), "component").select("group_key")
 
 
 def split_rows(spark: SparkSession, d: str) -> DataFrame:
     """(row_id, component, split) of the manifest, linked by group and by stem, so a row written twice stays together."""
     linked = durable(linked_groups(manifest_keys(spark, d), "row_id", ["group_key", "final_stem"]))
     sizes = durable(linked.groupBy("component").agg(F.count("*").alias("n")))
-    return linked.join(assign_splits(sizes, table(spark, d, "split_targets")), "component").select("row_id", "component", "split")
+    return linked.join(assign_splits(sizes, table(spark, d, "split_targets")).hint("merge"), "component").select("row_id", "component", "split")
 
 
 def p1_splits(spark: SparkSession, d: str) -> DataFrame:
