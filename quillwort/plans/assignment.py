@@ -256,7 +256,7 @@ SQL = {
         r as (select *, row_number() over (partition by source order by {_RANK.format(k='group_key')}, group_key) as i, ceil(count(*) over (partition by source) * 0.3::double) as q from g)
         select source, group_key from r where i <= q""",
     "pr12_strided": f"with {MANIFEST}, {_STRIDE} select source, row_id from k where i % greatest(1, n // 300) = 0",
-    "w2_rank_groups": f"with {MANIFEST}, {_GROUPS} select unit, group_key, n, i as place from i where i <= 10",
+    "w2_rank_groups": f"with {MANIFEST}, {_GROUPS} select unit, group_key, n, i::int as place from i where i <= 10",
     "w5_first_k": f"with {MANIFEST}, {_STRIDE} select source, row_id from k where i % greatest(1, n // 20) = 0 and i // greatest(1, n // 20) < 20",
     "w7_even_picks": f"with {MANIFEST}, {_STRIDE} select source, row_id from k where i % greatest(1, n // 5) = 0 and i // greatest(1, n // 5) < 5",
     "w8_peaks": """with k as (select event_type, ts::date as day, round(avg(value), 6) as mean from events group by 1, 2)

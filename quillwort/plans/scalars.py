@@ -218,7 +218,7 @@ _EXPORT = r"(?i)^(.+)_[A-Za-z0-9]+\.rf\.[0-9a-f]{32}$"
 _CASES = r"""case when not regexp_matches({bare}, '(?i)^.+_frame_[0-9]+(_(jpg|jpeg|png|webp))?$') then {other} else 'frame_' || lower(regexp_extract({bare}, '(?i)^(.+)_frame_[0-9]+(?:_(?:jpg|jpeg|png|webp))?$', 1)) end"""
 
 SQL = {
-    "f3_hamming": "select a.image_id, bit_count(xor(a.phash, b.phash)) as distance from accepted_images a join accepted_images b on b.image_id = a.image_id + 1",
+    "f3_hamming": "select a.image_id, bit_count(xor(a.phash, b.phash))::int as distance from accepted_images a join accepted_images b on b.image_id = a.image_id + 1",
     "f5_digests": "select doc_id, md5(text) as md5, sha256(text) as sha256 from documents where text is not null",
     "f6_time_key": r"""with k as (select image_id, regexp_extract(path, '_[0-9]{8}_([0-9]{6})_', 1) as s from accepted_images)
         select image_id, s[1:2]::int * 3600 + s[3:4]::int * 60 + s[5:6]::int as second from k where s <> ''""",
@@ -259,7 +259,7 @@ SQL = {
     "pr10_rebase": r"""with k as (select image_id, replace(path, '\', '/') as p from accepted_images)
         select image_id, case when contains(p, 'images/') then '/data/' || string_split(p, 'images/')[-1] else p end as path from k""",
     "pr13_slug": r"select c_custkey, nullif(trim(regexp_replace(' .' || c_name || ' / ' || c_mktsegment || '!-', '[^A-Za-z0-9._-]+', '_', 'g'), '._-'), '') as slug from customer",
-    "s4_parse_lines": f"with {_LINES} select doc_id, line_no, cls, cx, cy, w, h, array_to_string(issues, ';') as issues from k where right_ and numeric_",
+    "s4_parse_lines": f"with {_LINES} select doc_id, line_no::int as line_no, cls, cx, cy, w, h, array_to_string(issues, ';') as issues from k where right_ and numeric_",
     "s4_bad_lines": f"""with {_LINES}, i as (select unnest(case when not right_ then ['expected_5_fields'] when not numeric_ then ['not_numeric'] else issues end) as issue from k)
         select issue, count(*) as n from i group by 1""",
     "s11_tag_strip": "select doc_id, regexp_replace(text, '<[^>]+>', chr(10), 'g') as text from documents where contains(text, '<')",

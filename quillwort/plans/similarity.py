@@ -189,17 +189,17 @@ _COS = "round(list_cosine_similarity(a.embedding::double[], b.embedding::double[
 
 SQL = {
     "f1_fingerprints": f"with {_PRINTS} select vec_id, hash from prints",
-    "j6_hamming_nn": f"""with {_PRINTS} select a.vec_id, arg_min(b.vec_id, (bit_count(xor(a.hash, b.hash)), b.vec_id)) as nearest_id, min(bit_count(xor(a.hash, b.hash))) as distance
+    "j6_hamming_nn": f"""with {_PRINTS} select a.vec_id, arg_min(b.vec_id, (bit_count(xor(a.hash, b.hash)), b.vec_id)) as nearest_id, min(bit_count(xor(a.hash, b.hash)))::int as distance
         from prints a join prints b on a.vec_id % 50 = 0 and b.vec_id % 50 <> 0 group by 1""",
     "j7_hamming_bank": f"""with {_IMAGES} select a.image_id, arg_min(b.image_id, (bit_count(xor(a.hash, b.hash)), b.image_id)) filter (a.hash is not null and b.hash is not null) as nearest_id,
-        min(bit_count(xor(a.hash, b.hash))) as distance from inc a cross join acc b where a.image_id % 50 = 0 group by 1""",
+        min(bit_count(xor(a.hash, b.hash)))::int as distance from inc a cross join acc b where a.image_id % 50 = 0 group by 1""",
     "j8_cosine_nn": f"select a.vec_id, arg_min(b.vec_id, (-{_COS}, b.vec_id)) as neighbour, max({_COS}) as cosine from embeddings a join embeddings b on a.vec_id <> b.vec_id where a.vec_id % 50 = 0 group by 1",
     "j9_pairs_over": f"""with p as (select a.vec_id, b.vec_id as neighbour, {_COS} as cosine from embeddings a join embeddings b on a.vec_id <> b.vec_id where a.vec_id % 50 = 0)
         select p.*, threshold from p, (select unnest([0.25, 0.3, 0.35]::double[]) as threshold) where cosine >= threshold""",
     "j10_two_sided": f"""with {_IMAGES}, p as (
         select a.image_id, 'incumbent' as kind, b.image_id as matched_id, bit_count(xor(a.hash, b.hash)) as distance from inc a join acc b on bit_count(xor(a.hash, b.hash)) <= 8
         union all select a.image_id, 'candidate', b.image_id, bit_count(xor(a.hash, b.hash)) from inc a join inc b on b.image_id < a.image_id and bit_count(xor(a.hash, b.hash)) <= 8)
-        select image_id, kind, arg_min(matched_id, (distance, matched_id)) as matched_id, min(distance) as distance from p group by 1, 2""",
+        select image_id, kind, arg_min(matched_id, (distance, matched_id)) as matched_id, min(distance)::int as distance from p group by 1, 2""",
     "j11_exact_first": f"""with {_IMAGES}, k as (select digest, min(image_id) as i from acc where digest is not null group by 1), f as (select digest, min(image_id) as i from inc where digest is not null group by 1)
         select image_id, coalesce(k.i, f.i) as matched, case when k.i is not null then 'incumbent' else 'candidate' end as kind
         from inc left join k using (digest) left join f using (digest) where k.i is not null or f.i < image_id""",
@@ -207,18 +207,18 @@ SQL = {
     "a8_dupe_groups": "select md5(text) as digest, count(*) as n, min(doc_id) as first from documents where text is not null group by 1 having count(*) > 1",
     "v8_cross_split_bytes": """select sha256(text) as digest, count(*) as n, string_agg(distinct source, '+' order by source) as splits from documents
         where text is not null and source is not null group by 1 having count(distinct source) > 1""",
-    "j12_tile_join": f"with {_BOXES} select l_orderkey, l_linenumber, col, row, round(fraction, 6) as fraction from h",
+    "j12_tile_join": f"with {_BOXES} select l_orderkey, l_linenumber, col::int as col, row::int as row, round(fraction, 6) as fraction from h",
     "a13_appearances": f"with {_BOXES}, {_HIST} select * from hist",
     "v6_tie_out": f"""with {_BOXES}, {_HIST} select sum(n_boxes)::bigint as raw, coalesce(sum(n_boxes) filter (n_tiles = 0), 0)::bigint as boundary_dropped,
         coalesce(sum((n_tiles - 1) * n_boxes) filter (n_tiles > 1), 0)::bigint as overlap_gain, sum(n_tiles * n_boxes)::bigint as tiled from hist""",
     "f17_tile_grid": """with s as (select p_partkey, 640 + p_size * 40 as width, 600 + p_size * 24 as height from part)
-        select p_partkey, least(c * 512, width - 640) as x0, least(r * 512, height - 640) as y0, 'x' || least(c * 512, width - 640) || '_y' || least(r * 512, height - 640) || '_s512' as tag
+        select p_partkey, least(c * 512, width - 640)::int as x0, least(r * 512, height - 640)::int as y0, 'x' || least(c * 512, width - 640) || '_y' || least(r * 512, height - 640) || '_s512' as tag
         from s, (select unnest(range(0, 8)) as c), (select unnest(range(0, 8)) as r)
         where c < greatest(1, floor((width - 640) / 512)::int + 1) and r < greatest(1, floor((height - 640) / 512)::int + 1)""",
     "f18_letterbox": f"""with {_BOXES} select imgsz, count(*) as n, round(avg(({_SIDE} * imgsz / greatest(width, height) < 8)::double), 6) as share_lt8px
         from b, (select unnest([640, 960]) as imgsz) group by 1""",
     "pr11_tiny": f"with {_BOXES} select l_orderkey, l_linenumber from b where {_SIDE} * 960 / greatest(width, height) < 4",
-    "pr8_tile_overhang": f"""with {_BOXES} select col, row, count(*) as n from h
+    "pr8_tile_overhang": f"""with {_BOXES} select col::int as col, row::int as row, count(*) as n from h
         where x_min < x0 - 0.64 or y_min < y0 - 0.64 or x_max > x0 + 640.64 or y_max > y0 + 640.64 group by 1, 2""",
     "a24_twins": f"""with {CANDIDATES}, k as (select digest, count(*) as n, count(distinct source) as s from c where digest is not null group by 1 having count(*) > 1)
         select s > 1 as across, count(*) as n_groups, sum(n)::bigint as n_records from k group by 1""",
