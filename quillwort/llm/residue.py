@@ -106,7 +106,7 @@ REPORTS = (
 )
 #: A sentence with one of these explains a field that it quotes.
 EXPLAINS = r"\b(?:template|placeholder|fields?|replaces?|expands?|written|variable|wrapper|syntax|filled in)\b"
-#: The first five letters of words of which every sentence pattern needs one; other sentences are not searched.
+#: The first five letters of words of which every sentence pattern needs one; other sentences are not searched for them.
 TRIGGERS = frozenset(
     "lorem ipsum xxx xxxx xxxxx asdf qwer qwert blah bla foo yada test place dummy fille sampl examp body copy conte capti detai descr"
     " text your here box field click repla headi write summa summe expla max blind platz muste hier texto escri inser intro texte saisi"
@@ -138,7 +138,7 @@ _CODE = re.compile(r"`[^`\n]{1,200}`|(?m:^\s*\$ .*$)")
 _QUOTE = re.compile(r"\"[^\"\n]{1,80}\"|“[^”\n]{1,80}”|„[^“”\n]{1,80}[“”]|(?<!\w)'[^'\n]{3,80}'(?!\w)")
 _MARKS = re.compile(r"[\u0300-\u036f]+")
 _LETTERS = re.compile(r"[a-z]+")
-_DIGIT = re.compile(r"\d")
+_NUMBERED = re.compile(r"\S*\d\S*")
 _MAYBE_FIELD = re.compile(r"[{}\[<«@#?]|__|%\w|%\(|\$\(|\*\|")
 _ODD = re.compile(r"^\W*[45]\d\d\b|…|\.{4}|\. \. |__|xxx|asdf")
 _SENTENCE = re.compile(r"(?<=[.!?…])\s+|\n")
@@ -169,10 +169,15 @@ def _blank(m: re.Match) -> str:
     return re.sub(r"[^\n]", " ", m.group())
 
 
-def _pseudo_latin(words: list[str]) -> bool:
+def _latin_words(words: list[str]) -> bool:
     return len(words) >= 6 and _FUNCTION.isdisjoint(words) and sum(bool(_LATIN.search(w)) for w in words) >= 0.7 * len(words)
 
 
+def _pseudo_latin(said: str, words: list[str]) -> bool:
+    """Whether the words of a sentence, or those between two words with digits, are make-believe Latin."""
+    return _latin_words(words) or (len(words) > 6 and any(_latin_words(_LETTERS.findall(run)) for run in _NUMBERED.split(said)))
+
+
 def evidence(text: str | None) -> list[tuple[int, str]]:
     """(line number from 0, kind) of each sentence that is evidence; kind is field, filler, error or script.
 
@@ -202,13 +207,14 @@ def evidence(text: str | None) -> list[tuple[int, str]]:
         for sentence in _SENTENCE.split(line):
             said = sentence.strip()
             words = _LETTERS.findall(said)
-            if not TRIGGERS.isdisjoint([w[:5] for w in words]) or _ODD.search(said):
-                for kind, pattern in _KINDS:
-                    if pattern.search(said) and not _REPORTS.search(said):
-                        out.append((number, kind))
-                        break
-            elif len(said) > 30 and not _DIGIT.search(said) and _pseudo_latin(words):
-                out.append((number, "filler"))
+            searched = not TRIGGERS.isdisjoint([w[:5] for w in words]) or _ODD.search(said)
+            for kind, pattern in _KINDS if searched else ():
+                if pattern.search(said) and not _REPORTS.search(said):
+                    out.append((number, kind))
+                    break
+            else:
+                if _pseudo_latin(said, words):
+                    out.append((number, "filler"))
     return out
 
 

@@ -164,6 +164,24 @@ def test_no_evidence(text):
     assert evidence(text) == []
 
 
+LATIN = [
+    "Aquiter velorum cantare plenitas amentum sednam versum hortica gravidus cantare cantare ripalem hortica fluvendo versum dolit porilis.",
+    "# Beldowick / capture plan 82 terrisque nisquam amentum dolit amentum dolit hortica sednam hortica cantare cantare quorbis undavit.",
+    "Notes of the lake 7 terrisque interdum tempor dolit amentum incididunt.",
+    "terrisque nisquam 3 amentum dolit 4 hortica velorum",
+]
+
+
+@pytest.mark.parametrize("text", LATIN)
+def test_make_believe_latin_is_filler(text):
+    assert evidence(text) == [(0, "filler")]
+
+
+@pytest.mark.parametrize("text", ["The versum of 82 is in the plan of the lake.", "Weir 82 terrisque nisquam amentum dolit.", "crew 12 counted 5 plastic bags, 3 paper cups, 9 bottles, 2 tyres, 4 lids"])
+def test_few_words_or_other_words_are_no_latin(text):
+    assert evidence(text) == []
+
+
 def test_boilerplate_is_subtracted(spark):
     banner = "Please enable JavaScript for the best experience."
     rows = [(i, f"Report {i} of the day with number {i * 7} and word{chr(97 + i)}.\n{banner}", "a") for i in range(25)]
