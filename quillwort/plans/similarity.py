@@ -13,7 +13,7 @@ from quillwort.operators.vectors import cosine_search
 from quillwort.plans.inputs import CANDIDATES, candidates, strip_sql
 from quillwort.session import table
 
-#: Every row whose id this divides is asked against all rows.
+#: Every row whose id this divides is asked; j6 holds them against the rows that are not, the others against all.
 ASKED = 50
 
 
@@ -22,7 +22,7 @@ def f1_fingerprints(spark: SparkSession, d: str) -> DataFrame:
 
 
 def j6_hamming_nn(spark: SparkSession, d: str) -> DataFrame:
-    """The nearest other fingerprint of every 50th embedding."""
+    """The nearest fingerprint of every 50th embedding (the held-out rows) among all embeddings that are not asked (the train bank)."""
     prints = f1_fingerprints(spark, d)
     asked = prints.where(F.col("vec_id") % ASKED == 0)
     return nearest(asked, prints.where(F.col("vec_id") % ASKED != 0), "vec_id", "vec_id", "hash")
