@@ -65,8 +65,10 @@ def _plan(blocks: list, quotas: dict[str, float], repeats: dict[str, int], shard
     for key, own in sizes.items():
         left, dealt[key] = int(round(quotas[key])), []
         for turn in range(repeats[key]):
+            if left <= 0:
+                break
             for block in rng.permutation(sorted(own)).tolist():
-                if left <= 0:
+                if left <= 0 and own[block]:
                     break
                 cut = own[block] > left
                 dealt[key].append((turn, block, left if cut else None))
@@ -97,14 +99,15 @@ def mix(
     Each source is drawn in passes over its blocks, permuted anew in each pass, until its quota
     (``source_sizes``) is reached; a record is drawn at most max_repeat times. The last block is cut:
     its records follow in hash order until the rest of the quota is filled, the last one being
-    taken if at least half of it fits. Records of size 0 are not drawn, as no share needs them.
+    taken if at least half of it fits. Records of size 0 (or null) come with their blocks
+    and cost no quota, so a source used whole gives all of them; a source of quota 0 gives none.
 
     The driver holds at most targets x blocks x max_repeat rows of block sizes and places, whatever
     the number of records. Without a number of ``shards`` there are ``LEAST_SHARDS``, or one for each
     ``SHARD_ROWS`` records, but no more than blocks are drawn. ``targets`` must be a table of that kind: few rows, keys unique.
     """
     spark = records.sparkSession
-    sized = records.select("key", record_id, F.col("size").cast("long").alias("size")).where("size > 0").withColumn("block", F.pmod(F.xxhash64(F.lit(seed), record_id), F.lit(blocks)).cast("int"))
+    sized = records.select("key", record_id, F.greatest(F.coalesce(F.col("size").cast("long"), F.lit(0)), F.lit(0)).alias("size")).withColumn("block", F.pmod(F.xxhash64(F.lit(seed), record_id), F.lit(blocks)).cast("int"))
     plan = {r["key"]: r for r in source_sizes(records, targets).collect()}
     shards = shards or max(LEAST_SHARDS, -(-sum(r["n_records"] for r in plan.values()) // SHARD_ROWS))
     of_targets = sized.where(F.col("key").isin(*plan)) if plan else sized.limit(0)

@@ -57,6 +57,20 @@ def test_mixture(spark, tables):
     assert sorted(map(tuple, mix(*tables, "image", shards=8, blocks=32).collect())) == sorted(map(tuple, rows))
 
 
+def test_records_of_size_0_are_drawn_with_their_blocks(spark):
+    records = [("all", f"a{i}", i % 2) for i in range(60)] + [("all", "null", None)] + [("half", f"h{i}", i % 2) for i in range(4000)] + [("zero", "z", 0)]
+    targets = [("all", "all", 0.9, 3), ("half", "half", 0.1, 2), ("zero", "zero", 0.1, 2)]
+    rows = mix(
+        spark.createDataFrame(records, "key string, image string, size int"),
+        spark.createDataFrame(targets, "source string, key string, target_share double, max_repeat int"), "image", shards=4, blocks=32,
+    ).collect()
+    times = Counter(r["image"] for r in rows)
+    assert {i: n for i, n in times.items() if i[0] != "h"} == {i: 3 for k, i, _ in records if k == "all"}
+    drawn = [r for r in rows if r["source"] == "half"]
+    none = sum(r["size"] == 0 for r in drawn)
+    assert sum(r["size"] for r in drawn) == 203 and 100 < none < 400 and max(times[r["image"]] for r in drawn) == 1
+
+
 def test_empty(spark, tables):
     records, targets = tables
     assert mix(records.limit(0), targets, "image").count() == 0
