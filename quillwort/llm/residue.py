@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from quillwort.session import durable, spread
 
-#: A line is boilerplate of its host if it stands in so many of its documents, and in this share of them.
-RECURRENT, RECURRENT_SHARE = 20, 0.02
+#: A line is boilerplate of its host if it stands in this share of its documents. The least number only keeps
+#: a line and its copy in a small host from counting; from 150 documents on the share alone decides.
+RECURRENT, RECURRENT_SHARE = 3, 0.02
 
 # ---- fixed values: what counts as evidence --------------------------------------------------------
 _NAME = r"[^\W\d_](?:[\w .'’-]{0,38}\w)?"

@@ -190,3 +190,11 @@ def test_boilerplate_is_subtracted(spark):
     got = sorted(map(tuple, residue(df).collect()))
     assert got == [(100, "script"), (101, "script"), (102, "field"), (105, "field")]
     assert residue(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("times", [1, 2])
+def test_boilerplate_does_not_depend_on_size(spark, times):
+    word = lambda i: "".join(chr(97 + int(c)) for c in str(i))
+    rows = [(i, f"Text {word(i)}." + ("\nAccess denied" if i % 40 == 0 else "\nPage not found" if i % 200 == 1 else "")) for i in range(400 * times)]
+    df = spark.createDataFrame([(*r, "a") for r in rows], "doc_id int, text string, source string")
+    assert sorted(r["doc_id"] for r in residue(df).collect()) == [i for i, _ in rows if i % 200 == 1]
