@@ -100,11 +100,22 @@ SCRIPT_FORMS = (
     rf"\b(?:zet|schakel|sta)\b.{{0,12}}\b{_SCRIPT}\b.{{0,15}}\b(?:aan|in|toe)\b|\b(?:vereist|heeft)\b.{{0,20}}\b{_SCRIPT}\b|\bbrowser wordt niet ondersteund\b",
     rf"\b(?:aktifkan|nyalakan|izinkan|membutuhkan|memerlukan|perlu)\b.{{0,20}}\b{_SCRIPT}\b|\b(?:peramban|browser) (?:anda )?tidak didukung\b|\bperbarui (?:peramban|browser)\b",
 )
-#: A sentence with one of these reports on a page, or on what was done about it.
+#: A sentence with one of these reports on a page, or on what was done about it, unless a page speaks in its main clause (``_reported``).
 REPORTS = (
     r"\bsince \d{4}\b|\bit is enabled on\b|\bwas (?:repeated|enabled|fixed)\b|\bno longer matter\b|\brequired reading\b|\bwe (?:saw|got|noted|logged)\b"
     r"|\banswered\b|\bsaid\b|\bslate\b|\bso crew\b|\bby the\b.{0,30}\bkeeper\b|\bwere all filled\b|\bbecause\b.{0,60}\bwere (?:copied|saved)\b"
 )
+#: What error pages and notices speak of as their own subject.
+_PAGE = (
+    "page|site|website|server|session|you|your|service|request|link|account|browser|document|record|resource|address|url|path|content|database|host"
+    "|connection|gateway|error|incident|condition|access|permission|something|javascript|scripts?|scripting|cookies"
+)
+#: A clause with one of these passes on what was said or seen.
+SAYS = r"\b(?:said|says|answered|replied|told|reported|showed|saw|noted|wrote|written)\b|\b(?:we|i|he|she|they) (?:got|logged)\b"
+#: Where a clause ends, openings of a clause before the main one, and openings of a main clause on a page.
+CLAUSE = r"[,;:] | [–—-] |\s(?=(?:because|since|so|which|while|when|after|until|although|but)\b)"
+BEFORE_MAIN = r"\W*(?:(?:because|since|while|when|after|until|although|as|on|at|in) [^,]*, |(?:we.?re |we are )?(?:sorry|oops)\W+(?:but )?)"
+PAGE_SUBJECT = rf"\W*(?:(?:the|this|that|our|an?|requested|web|unexpected|internal) ){{0,3}}(?:{_PAGE})\b"
 #: A sentence with one of these explains a field that it quotes.
 EXPLAINS = r"\b(?:template|placeholder|fields?|replaces?|expands?|written|variable|wrapper|syntax|filled in)\b"
 #: The first five letters of words of which every sentence pattern needs one; other sentences are not searched for them.
@@ -133,7 +144,8 @@ _KINDS = (("filler", re.compile("|".join(f"(?:{p})" for p in FILLER_FORMS if r"\
           ("filler", re.compile(next(p for p in FILLER_FORMS if r"\1" in p))),
           ("script", re.compile("|".join(f"(?:{p})" for p in SCRIPT_FORMS))),
           ("error", re.compile("|".join(f"(?:{p})" for p in ERROR_FORMS))))
-_REPORTS, _EXPLAINS = re.compile(REPORTS), re.compile(EXPLAINS)
+_REPORTS, _EXPLAINS, _SAYS = re.compile(REPORTS), re.compile(EXPLAINS), re.compile(SAYS)
+_CLAUSE, _BEFORE_MAIN, _PAGE_SUBJECT = re.compile(CLAUSE), re.compile(BEFORE_MAIN), re.compile(PAGE_SUBJECT)
 _FENCE = re.compile(r"```.*?```|~~~.*?~~~", re.DOTALL)
 _CODE = re.compile(r"`[^`\n]{1,200}`|(?m:^\s*\$ .*$)")
 _QUOTE = re.compile(r"\"[^\"\n]{1,80}\"|“[^”\n]{1,80}”|„[^“”\n]{1,80}[“”]|(?<!\w)'[^'\n]{3,80}'(?!\w)")
@@ -179,6 +191,18 @@ def _pseudo_latin(said: str, words: list[str]) -> bool:
     return _latin_words(words) or (len(words) > 6 and any(_latin_words(_LETTERS.findall(run)) for run in _NUMBERED.split(said)))
 
 
+def _reported(said: str, at: int) -> bool:
+    """Whether a sentence only reports what a pattern found at ``at``: it has a report, and what was found is not the message of its main clause."""
+    if not _REPORTS.search(said):
+        return False
+    before = _BEFORE_MAIN.match(said)
+    begin = before.end() if before else 0
+    end = _CLAUSE.search(said, begin)
+    main = said[begin : end.start() if end else len(said)]
+    own = at <= begin or (at < begin + len(main) and _PAGE_SUBJECT.match(main))
+    return not own or bool(_SAYS.search(main))
+
+
 def evidence(text: str | None) -> list[tuple[int, str]]:
     """(line number from 0, kind) of each sentence that is evidence; kind is field, filler, error or script.
 
@@ -210,7 +234,8 @@ def evidence(text: str | None) -> list[tuple[int, str]]:
             words = _LETTERS.findall(said)
             searched = not TRIGGERS.isdisjoint([w[:5] for w in words]) or _ODD.search(said)
             for kind, pattern in _KINDS if searched else ():
-                if pattern.search(said) and not _REPORTS.search(said):
+                found = pattern.search(said)
+                if found and not _reported(said, found.start()):
                     out.append((number, kind))
                     break
             else:

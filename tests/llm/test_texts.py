@@ -198,3 +198,19 @@ def test_boilerplate_does_not_depend_on_size(spark, times):
     rows = [(i, f"Text {word(i)}." + ("\nAccess denied" if i % 40 == 0 else "\nPage not found" if i % 200 == 1 else "")) for i in range(400 * times)]
     df = spark.createDataFrame([(*r, "a") for r in rows], "doc_id int, text string, source string")
     assert sorted(r["doc_id"] for r in residue(df).collect()) == [i for i, _ in rows if i % 200 == 1]
+
+
+@pytest.mark.parametrize("text", [
+    "Your session has expired because no changes were saved.", "This page is no longer available since 2023.", "Because no changes were saved, your session has expired.",
+    "Something went wrong because your files were copied twice.",
+])
+def test_main_clause_of_a_page_is_evidence(text):
+    assert [k for _, k in evidence(text)] == ["error"]
+
+
+@pytest.mark.parametrize("text", [
+    "The tablet map needs JavaScript, and since 2022-07-13 it is enabled on all 26 tablets.",
+    "The keeper said the page was not found.", "We saw that an error occurred.", "The server answered that the page could not be found.",
+])
+def test_reports_of_others_are_no_evidence(text):
+    assert evidence(text) == []
