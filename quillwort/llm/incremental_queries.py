@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillwort.functions.names import computed_hash, digest_key, source_key
-from quillwort.llm.incremental import dedupe_batches
-from quillwort.session import table
+from quillwort.llm.incremental import AcceptedIndex, dedupe_batches
+from quillwort.session import fresh_path, table
 
 #: The sources that were there first.
 INCUMBENTS = ("kanal_fx",)
@@ -18,7 +18,13 @@ def _keys(df: DataFrame, *more: str) -> DataFrame:
 
 
 def _cases(spark: SparkSession, d: str) -> DataFrame:
-    return dedupe_batches(_keys(table(spark, d, "accepted_images")), _keys(table(spark, d, "incoming_images"), "batch_no"))
+    """The cases of all batches: the history is indexed once, and all batches probe the index."""
+    index = AcceptedIndex.create(spark, fresh_path(spark, "accepted"))
+    try:
+        index.append(_keys(table(spark, d, "accepted_images")).where("image_id is not null"))
+        return dedupe_batches(index, _keys(table(spark, d, "incoming_images"), "batch_no"))
+    finally:
+        index.drop()
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:

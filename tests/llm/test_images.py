@@ -2,11 +2,13 @@
 
 from random import Random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quillwort.llm.incremental import AcceptedIndex, accept_batch, dedupe_batches
+from quillwort.llm.incremental import AcceptedIndex, dedupe_batches
 from quillwort.llm.incremental_queries import match_category
+from quillwort.llm.minwise import Minwise
 from quillwort.llm.overlap import RarePrefix, cross_split_pairs, overlap_report, rare_prefix_pairs
 
 
@@ -52,37 +54,75 @@ def model(history, incoming):
     return cases
 
 
+HISTORY, INCOMING = "image_id long, digest string, hash long", "image_id long, batch_no int, digest string, hash long"
+
+
+@pytest.fixture
+def index(spark, tmp_path):
+    made = AcceptedIndex.create(spark, str(tmp_path / "index"))
+    yield made
+    made.drop()
+
+
+def matches(cases):
+    return {r["image_id"]: r["matched_id"] for r in cases.collect()}
+
+
 @pytest.mark.parametrize("seed", range(3))
-def test_batches_equal_the_sequence(spark, seed):
+def test_batches_equal_the_sequence(spark, index, seed):
     rng = Random(seed)
     first = model([], [(i, 0, d, h) for i, (d, h) in enumerate(images(rng, 60))])
     known = [(i, *x) for i, x in enumerate(images(Random(seed), 60)) if i not in first]
     new = [(1000 + i, 1 + i * 3 // 90, *x) for i, x in enumerate(images(rng, 90))]
-    h = spark.createDataFrame(known, "image_id long, digest string, hash long")
-    n = spark.createDataFrame([*((*r, "x") for r in new), (*new[5], "y"), (None, 1, "q", 5, "z")], "image_id long, batch_no int, digest string, hash long, key string")
-    got = {r["image_id"]: r["matched_id"] for r in dedupe_batches(h, n.drop("key")).collect()}
+    n = spark.createDataFrame([*((*r, "x") for r in new), (*new[5], "y"), (None, 1, "q", 5, "z")], INCOMING + ", key string")
+    index.append(spark.createDataFrame(known, HISTORY))
+    assert matches(dedupe_batches(index, n.drop("key"))) == model(known, new)
+
+
+def test_empty_batches(spark, index):
+    n = spark.createDataFrame([(9, 1, "A", 5)], INCOMING)
+    assert dedupe_batches(index, n.limit(0)).count() == 0
+    index.append(spark.createDataFrame([], HISTORY))
+    assert dedupe_batches(index, n).count() == 0
+    again = dedupe_batches(index, spark.createDataFrame([(10, None, "B", 4), (11, 2, "A", None), (12, 2, None, None)], INCOMING))
+    assert sorted(map(tuple, again.collect())) == [(10, 9, 1, False), (11, 9, 0, True)]
+
+
+def test_an_index_is_opened_again_and_no_history_is_read(spark, tmp_path):
+    rng = Random(5)
+    known = [(i, *x) for i, x in enumerate(images(rng, 40))]
+    known = [r for r in known if r[0] not in model([], [(i, 0, d, h) for i, d, h in known])]
+    new = [(1000 + i, 1 + i // 30, *x) for i, x in enumerate(images(rng, 90))]
+    spark.createDataFrame(known, HISTORY).write.parquet(str(tmp_path / "history"))
+    path = str(tmp_path / "index")
+    with AcceptedIndex.create(spark, path, buckets=3) as built:
+        built.append(spark.read.parquet(str(tmp_path / "history")))
+    for file in (tmp_path / "history").iterdir():
+        file.unlink()
+    got = {}
+    for no in (1, 2, 3):
+        with AcceptedIndex.open(spark, path) as index:
+            before = {f: f.stat().st_mtime_ns for f in (tmp_path / "index").rglob("*.parquet")}
+            got |= matches(dedupe_batches(index, spark.createDataFrame([r for r in new if r[1] == no], INCOMING)))
+            assert {f: f.stat().st_mtime_ns for f in before} == before
+            probe = index.same(spark.createDataFrame([(1, "a", 7)], HISTORY))._jdf.queryExecution().executedPlan().toString()
+            assert probe.count("Exchange hashpartitioning(digest") == 1, "only the batch is shuffled"
     assert got == model(known, new)
-
-
-def test_empty_batches(spark):
-    h = spark.createDataFrame([(1, "a", 5)], "image_id long, digest string, hash long")
-    n = spark.createDataFrame([(9, 1, "A", 5)], "image_id long, batch_no int, digest string, hash long")
-    assert dedupe_batches(h, n.limit(0)).count() == 0
-    assert dedupe_batches(h.limit(0), n).count() == 0
-    assert [tuple(r) for r in dedupe_batches(h, n).collect()] == [(9, 1, 0, False)]
-
-
-def test_index_grows_by_what_is_accepted(spark):
-    index = AcceptedIndex(spark)
-    try:
-        index.append(spark.createDataFrame([], "image_id long, digest string, hash long"))
-        cases, accepted = accept_batch(index, spark.createDataFrame([(1, "a", 7), (2, "a", None), (3, None, None)], "image_id long, digest string, hash long"))
-        assert [(r["image_id"], r["matched_id"]) for r in cases.collect()] == [(2, 1)]
-        assert sorted(r["image_id"] for r in accepted.collect()) == [1, 3]
-        cases, _ = accept_batch(index, spark.createDataFrame([(4, "b", 7)], "image_id long, digest string, hash long"))
-        assert [(r["image_id"], r["matched_id"]) for r in cases.collect()] == [(4, 1)]
-    finally:
-        index.drop()
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("quillwort_")]
+
+
+def test_minwise_keys_agree_as_often_as_the_sets_are_alike():
+    rng = np.random.default_rng(1)
+    a = rng.integers(-(1 << 63), 1 << 63, 20_000, dtype=np.int64)
+    minwise = Minwise()
+    assert (minwise.band_keys(a) < 0).all() and len(set(minwise.band_keys(a[:1])[0])) == minwise.bands
+    for bits, least in ((0, 1.0), (4, 0.99), (8, 0.88)):
+        b = a.copy()
+        for k in range(bits):
+            b ^= np.int64(1) << np.int64(7 * k)
+        alike = (minwise.signatures(a) == minwise.signatures(b)).mean()
+        assert abs(alike - (64 - bits) / (64 + bits)) < 0.03
+        assert (minwise.band_keys(a) == minwise.band_keys(b)).any(axis=1).mean() >= least - 0.02
 
 
 def test_categories(spark):
