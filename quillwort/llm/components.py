@@ -11,10 +11,8 @@ from pyspark.sql import functions as F
 
 from quillwort.session import discard, durable
 
-#: A component with at least this share of all rows is placed before the others; so there are at most 1 / share.
-LARGE_SHARE = 1 / 1000
-#: Parts of the hash order whose sizes the driver sees.
-HASH_PARTS = 4096
+#: Bits of the hash order that the driver sees the sizes of at once.
+STEP = 12
 
 
 def _order(c: str) -> F.Column:
@@ -103,45 +101,68 @@ def linked_groups(records: DataFrame, row_id: str, keys: list[str]) -> DataFrame
     return records.select(row_id, first.alias("alone")).join(anchor.hint("merge"), row_id, "left").select(row_id, F.coalesce("component", "alone").alias("component"))
 
 
+def _cut(cells: dict[int, tuple[int, int]], limit: float, closer=None, level: int = 0, before: float = 0.0) -> int:
+    """Where the hash order is cut so that about ``limit`` rows lie before: a bound on ``spot``.
+
+    ``cells`` has the rows and components of each cell of the order. The cell in which the limit falls
+    goes to the side of its middle, or, with ``closer``, is looked at more closely until it is one component.
+    """
+    for cell in sorted(cells):
+        n, count = cells[cell]
+        if before + n > limit:
+            if closer and count > 1 and level < 4:
+                return _cut(closer(cell, level + 1), limit, closer, level + 1, before)
+            return (cell if before + n / 2 >= limit else cell + 1) << STEP * (4 - level)
+        before += n
+    return 1 << 5 * STEP
+
+
 def assign_splits(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     """(component, split): whole components, with the shares of rows in ``targets`` approached.
 
-    ``sizes`` has (component string, n long), ``targets`` (split, target_share). Components in hash
-    order fill the splits one after another. Those of at least ``LARGE_SHARE`` of all rows (at most
-    1 / LARGE_SHARE of them, so the driver can hold them) are placed first, largest first, each where
-    most is missing. Shares that are null or not positive take nothing; they need not sum to 1.
+    ``sizes`` has (component string, n long), ``targets`` (split, target_share). Components follow each
+    other in hash order, size class (powers of two) by size class from the largest, and each class is
+    cut into the splits in proportion to what they still miss; a component goes where its middle
+    lies. What a cut misses is left to the smaller classes. The smallest one is cut between two
+    components, the others between two of 4096 parts of the hash order, so the driver holds at most
+    60 x 4096 sums, and the shares reached miss the targets by about the smallest components unless
+    one component is larger than a split. Shares that are null or not positive take nothing; they
+    need not sum to 1. Repeated components are not allowed.
     """
     wanted = [(r["split"], r["target_share"]) for r in targets.collect() if r["target_share"] and r["target_share"] > 0]
     wanted.sort(key=lambda x: (-x[1], x[0]))
     if not wanted:
         raise ValueError("split targets with a positive share are needed")
-    total = sizes.agg(F.sum("n")).first()[0] or 0
-    missing = {s: share / sum(w for _, w in wanted) * total for s, share in wanted}
-    is_large = F.col("n") >= max(1.0, total * LARGE_SHARE)
-    placed = {}
-    for r in sorted(sizes.where(is_large).collect(), key=lambda r: (-r["n"], r["component"])):
-        split = max(missing, key=lambda s: (missing[s], s))
-        placed[r["component"]] = split
-        missing[split] -= r["n"]
-    parts = F.pmod(F.xxhash64(F.lit(7), "component"), F.lit(HASH_PARTS))
-    filled = dict(sizes.where(~is_large).groupBy(parts.alias("part")).agg(F.sum("n")).collect())
-    rest = {s: max(0.0, v) for s, v in missing.items()}
-    scale = sum(filled.values()) / sum(rest.values()) if sum(rest.values()) else 0
-    order, at, bounds = list(rest), 0, [[s, None] for s in rest]
-    so_far = 0.0
-    for part in range(HASH_PARTS):
-        while at < len(order) - 1 and so_far >= sum(rest[s] for s in order[: at + 1]) * scale:
-            bounds[at][1] = part
-            at += 1
-        so_far += filled.get(part, 0)
-    split = F.lit(order[-1]) if at == len(order) - 1 else F.lit(order[at])
-    for s, bound in reversed([b for b in bounds if b[1] is not None]):
-        split = F.when(parts < bound, s).otherwise(split)
-    large = sizes.sparkSession.createDataFrame(list(placed.items()), "component string, placed string")
-    return (
-        sizes.join(F.broadcast(large), "component", "left")  # at most 1 / LARGE_SHARE rows
-        .select("component", F.coalesce("placed", split).alias("split"))
-    )
+    spot = F.shiftrightunsigned(F.xxhash64(F.lit(7), "component"), 64 - 5 * STEP)
+    placed = sizes.select("component", "n", F.floor(F.log2("n")).cast("int").alias("class"), spot.alias("spot"))
+    by_cell = lambda df, level: df.groupBy("class", F.shiftright("spot", STEP * (4 - level)).alias("cell")).agg(F.sum("n").alias("n"), F.count("*").alias("c"))
+    sums: dict[int, dict[int, tuple[int, int]]] = {}
+    for r in by_cell(placed, 0).collect():
+        sums.setdefault(r["class"], {})[r["cell"]] = (r["n"], r["c"])
+    total = sum(n for cells in sums.values() for n, _ in cells.values())
+    missing = [share / sum(w for _, w in wanted) * total for _, share in wanted]
+    bounds: dict[int, list[int]] = {}
+    for k in sorted(sums, reverse=True):
+
+        def closer(cell: int, level: int, k=k) -> dict[int, tuple[int, int]]:
+            inside = placed.where((F.col("class") == k) & (F.shiftright("spot", STEP * (5 - level)) == cell))
+            return {r["cell"]: (r["n"], r["c"]) for r in by_cell(inside, level).collect()}
+
+        cells, needs = sums[k], [max(0.0, m) for m in missing]
+        scale = sum(n for n, _ in cells.values()) / sum(needs) if sum(needs) else 0.0
+        limits = [sum(needs[: i + 1]) * scale for i in range(len(needs) - 1)]
+        bounds[k] = [_cut(cells, limit, closer if k == min(sums) else None) for limit in limits]
+        edges = [0, *[b >> STEP * 4 for b in bounds[k]], 1 << STEP]
+        for i in range(len(needs)):
+            missing[i] -= sum(n for c, (n, _) in cells.items() if edges[i] <= c < edges[i + 1])
+    if len(wanted) == 1 or not bounds:
+        return sizes.select("component", F.lit(wanted[0][0]).alias("split"))
+    limits_of = F.create_map(*[x for k, b in bounds.items() for x in (F.lit(k), F.array(*[F.lit(v).cast("long") for v in b]))])
+    own_limits = F.element_at(limits_of, F.col("class"))
+    split = F.lit(wanted[-1][0])
+    for i in reversed(range(len(wanted) - 1)):
+        split = F.when(F.col("spot") < own_limits[i], wanted[i][0]).otherwise(split)
+    return placed.select("component", split.alias("split"))
 
 
 def torn_components(linked: DataFrame, split: str) -> DataFrame:
@@ -151,3 +172,14 @@ def torn_components(linked: DataFrame, split: str) -> DataFrame:
     """
     lain = linked.where(F.col(split).isNotNull()).select("component", split).distinct()
     return lain.groupBy("component").agg(F.count("*").alias("n_splits")).where("n_splits > 1")
+
+
+def torn_keys(linked: DataFrame, key: str, split: str) -> DataFrame:
+    """(key, n_splits): key values that lie in more than one split themselves, looked for inside of torn components.
+
+    ``linked`` has (component, the key and the split column). A value's rows share their component, so
+    the component of a torn value is torn; that of an untorn value may be, too, by the other values in it.
+    """
+    lain = linked.where(F.col(split).isNotNull()).select("component", key, split).distinct()
+    inside = lain.where(F.col(key).isNotNull()).join(torn_components(lain, split).select("component").hint("merge"), "component", "left_semi")
+    return inside.groupBy(key).agg(F.count("*").alias("n_splits")).where("n_splits > 1")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillwort.functions.names import group_key, source_key, split_key
-from quillwort.llm.components import assign_splits, linked_groups, torn_components
+from quillwort.llm.components import assign_splits, linked_groups, torn_keys
 from quillwort.session import durable, table
 
 
@@ -16,25 +16,20 @@ def manifest_keys(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def linked_rows(spark: SparkSession, d: str) -> DataFrame:
+    """(row_id, component, group_key, now) of the manifest, linked by group and by stem, so a row written twice stays together."""
+    keys = manifest_keys(spark, d)
+    return keys.join(linked_groups(keys, "row_id", ["group_key", "final_stem"]).hint("merge"), "row_id").select("row_id", "component", "group_key", "now")
+
+
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
-    """Groups of the manifest that the present split tears apart.
-
-    The entity that a source names, as it spells it, and the group that spelling stands for are
-    linked by the rows that carry both. Rows that agree in both and in the split count as one.
-    """
-    rows = table(spark, d, "manifest").select(
-        "row_id", group_key("group_id").alias("group_key"), split_key("split").alias("now"),
-        F.concat_ws(":", source_key("source"), "group_id").alias("spelled"),
-    )
-    cells = durable(rows.where("group_key is not null").groupBy("group_key", "spelled", "now").agg(F.min("row_id").alias("row_id")))
-    linked = cells.join(linked_groups(cells, "row_id", ["group_key", "spelled"]).hint("merge"), "row_id")
-    named = linked.groupBy("component").agg(F.min("group_key").alias("group_key"))
-    return torn_components(linked, "now").join(named.hint("merge"), "component").select("group_key")
+    """Groups of the manifest that the present split tears apart: the torn ones inside of torn components of linked rows."""
+    return torn_keys(durable(linked_rows(spark, d).select("component", "group_key", "now").distinct()), "group_key", "now").select("group_key")
 
 
 def split_rows(spark: SparkSession, d: str) -> DataFrame:
-    """(row_id, component, split) of the manifest, linked by group and by stem, so a row written twice stays together."""
-    linked = durable(linked_groups(manifest_keys(spark, d), "row_id", ["group_key", "final_stem"]))
+    """(row_id, component, split) of the manifest: whole components of linked rows in one split each."""
+    linked = durable(linked_rows(spark, d).select("row_id", "component"))
     sizes = durable(linked.groupBy("component").agg(F.count("*").alias("n")))
     return linked.join(assign_splits(sizes, table(spark, d, "split_targets")).hint("merge"), "component").select("row_id", "component", "split")
 
