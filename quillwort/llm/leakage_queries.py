@@ -10,18 +10,18 @@ from quillwort.session import table
 
 
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
-    """Documents that hold 12 consecutive words of an evaluation item."""
-    return leaked_items(table(spark, d, "documents"), table(spark, d, "eval_items")).distinct()
+    """Documents that hold 12 consecutive words of an evaluation item: the pairs of the search that need no edit."""
+    return leaked_items(table(spark, d, "documents"), table(spark, d, "eval_items")).where("edits = 0").select("doc_id", "item_id").distinct()
 
 
 def p8_items(spark: SparkSession, d: str) -> DataFrame:
     """Per evaluation item the number of documents that hold a passage of it, exactly and within two edits."""
-    documents, items = table(spark, d, "documents"), table(spark, d, "eval_items")
-    exact = leaked_items(documents, items).distinct().groupBy("item_id").agg(F.count("*").alias("n_docs"))
-    near = leaked_items(documents, items, max_edits=2).distinct().groupBy("item_id").agg(F.count("*").alias("n_docs_near"))
+    items = table(spark, d, "eval_items")
+    found = leaked_items(table(spark, d, "documents"), items).groupBy("doc_id", "item_id").agg(F.min("edits").alias("edits"))
+    counts = found.groupBy("item_id").agg(F.count_if(F.col("edits") == 0).alias("n_docs"), F.count("*").alias("n_docs_near"))
     zero = F.lit(0)
     return (
-        items.select("item_id", "task", "split").distinct().join(exact, "item_id", "left").join(near, "item_id", "left")
+        items.select("item_id", "task", "split").distinct().join(counts, "item_id", "left")
         .select("item_id", "task", "split", F.coalesce("n_docs", zero).alias("n_docs"), F.coalesce("n_docs_near", zero).alias("n_docs_near"))
     )
 

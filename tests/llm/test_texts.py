@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from quillwort.llm.bpe import PIECES, VOCABULARY, BytePairEncoder, encode, read_ranks
-from quillwort.llm.leakage import WindowIndex, edit_distance, leaked_items, words
+from quillwort.llm.leakage import PER_EDIT, WindowIndex, edit_distance, leaked_items, words
 from quillwort.llm.residue import evidence, residue
 
 tiktoken = pytest.importorskip("tiktoken")
@@ -112,7 +112,8 @@ def test_leaks_equal_brute_force(spark, monkeypatch, indexed):
     assert want
     df = spark.createDataFrame([(*d, 1) for d in docs], "doc_id long, text string, item_id int")
     ev = spark.createDataFrame([(*i, 1) for i in [*items, items[0], (99, None)]], "item_id long, text string, doc_id int")
-    assert set(map(tuple, leaked_items(df, ev).collect())) == want
+    for edits in (0, 2):
+        assert {(r[0], r[1]) for r in leaked_items(df, ev, max_edits=edits).collect() if not r["edits"]} == want
     assert leaked_items(df.limit(0), ev).count() == 0 and leaked_items(df, ev.limit(0)).count() == 0
 
 
@@ -120,7 +121,7 @@ def test_leaks_equal_brute_force(spark, monkeypatch, indexed):
 def test_recall_with_edits(edits):
     rng = Random(7)
     items = [(i, [f"w{rng.randrange(300)}" for _ in range(30)]) for i in range(60)]
-    index = WindowIndex(items, edits, 8 * edits, 8, 42)
+    index = WindowIndex(items, edits, PER_EDIT * edits, 8, 42)
     hits = total = 0
     for _ in range(600):
         window = index.windows[rng.randrange(len(index.windows))].tolist()
@@ -133,11 +134,48 @@ def test_recall_with_edits(edits):
                 changed.insert(at, 0)
             else:
                 del changed[at]
-        changed = changed[:12]
-        if edit_distance(np.array([changed]), np.array([window]))[0] <= edits:
+        changed = np.array(changed[:12], np.int32)
+        if edit_distance(changed[None], np.array([window]))[0] <= edits:
             total += 1
-            hits += len(index.search(np.array(changed, np.int32), np.array([0]))[0]) > 0
-    assert total > 100 and hits / total >= 0.85
+            hits += len(index.search(changed, np.zeros(12, int))[0]) > 0
+            assert len(index.search(changed, np.zeros(12, int), exact=True)[0])
+    assert total > 100 and hits / total >= 0.95
+
+
+def edited(rng, ws, vocabulary):
+    out = list(ws)
+    for _ in range(rng.randrange(0, 4)):
+        at = rng.randrange(len(out))
+        out[at : at + rng.randrange(2)] = [rng.choice(vocabulary)] * rng.randrange(2)
+    return out
+
+
+def test_edits_on_documents_against_all_pairs(spark):
+    rng = Random(3)
+    vocabulary = [f"v{i}" for i in range(80)] + ["foreign"]
+    items = [(i, " ".join(rng.choice(vocabulary[:-1]) for _ in range(20))) for i in range(30)]
+    docs = []
+    for i in range(150):
+        parts = [rng.choice(vocabulary) for _ in range(rng.randrange(0, 30))]
+        parts[5:5] = edited(rng, words(rng.choice(items)[1])[:14], vocabulary)
+        docs.append((i, " ".join(parts)))
+    want = {}
+    for d, t in docs:
+        for i, s in items:
+            a, b = sorted(windows(t)), sorted(windows(s))
+            if a and b:
+                code = {w: n for n, w in enumerate({w for x in a + b for w in x})}
+                aa, bb = np.array([[code[w] for w in x] for x in a]), np.array([[code[w] for w in x] for x in b])
+                least = edit_distance(np.repeat(aa, len(bb), 0), np.tile(bb, (len(aa), 1))).min()
+                if least <= 2:
+                    want[d, i] = least
+    df, ev = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    assert {(r[0], r[1]): r[2] for r in leaked_items(df, ev, exact=True).collect()} == want
+    got = {(r[0], r[1]): r[2] for r in leaked_items(df, ev).collect()}
+    assert set(got) <= set(want) and {k for k, v in want.items() if v == 0} == {k for k, v in got.items() if v == 0}
+    for edits in (1, 2):
+        true = [k for k, v in want.items() if v == edits]
+        assert len(true) > 15 and sum(k in got for k in true) / len(true) >= 0.95
 
 
 FOUND = [
