@@ -7,6 +7,7 @@ import re
 import unicodedata
 from collections.abc import Iterator
 
+import ahocorasick
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +18,9 @@ from quillwort.session import durable, spread
 #: a line and its copy in a small host from counting; from 150 documents on the share alone decides.
 RECURRENT, RECURRENT_SHARE = 3, 0.02
 
+#: Recurrent lines, of eight bytes each, that are sent to every worker.
+SENT = 1_000_000
+
 # ---- fixed values: what counts as evidence --------------------------------------------------------
 _NAME = r"[^\W\d_](?:[\w .'’-]{0,38}\w)?"
 #: Element names that are markup, not fields.
@@ -45,91 +49,105 @@ FIELD_FORMS = (
     rf"\?\?\? ?{_NAME} ?\?\?\?",
     rf"(?<!\w)__{_NAME}__(?!\w)",
     r"\[(?:insert|enter|add|fill|your|to be|tbd|tba|tbc|todo|placeholder|ihr[e]?|su|votre|uw|isi|hier|inserte|insertar|inserer|einfugen)\b[^\[\]\n]{0,60}\]",
+    r"(?<![\w{$#\\])\{\d\}",
+    r"\[[^\[\]\n]{1,50} to be (?:added|written|supplied|completed|inserted|announced)\]",
+    r"\[(?:DD|TT|JJ|MM|HH)[./-](?:DD|MM|BB)[./-](?:YYYY|JJJJ|AAAA|TTTT|YY|JJ|AA)\]",
+    r"\b(?:dear|hello|hi|hallo|hola|halo|geehrte[rs]? \w+|liebe[rs]?|bonjour|chere?|estimad[oa]|querid[oa]|beste|geachte \w+|yth\.?) \[[^\[\]\n]{2,30}\]",
+    r"(?-i:(?<![\w!])\[(?!(?:INFO|WARN|WARNING|ERROR|DEBUG|TRACE|FATAL|FAIL|PASS|SKIP|OK|NOTE|DONE)\])[A-Z][A-Z _]{2,30}\](?!\())",
     r"\[[^\[\]\n]{1,50} (?:here|pending|to come|goes here|tbd|tba|tbc|einfugen|erganzen|invullen|aqui|ici|di sini)\]",
 )
-#: Filler in place of text. Read sentence by sentence, in lower case, without accents.
-FILLER_FORMS = (
-    r"\blorem\b|\bipsum\b",
-    r"\b(?:x{3,}\s+){2,}x{3,}\b|(?:…\s*){4,}|(?:\.\s?){8,}|(?<!\S)_{6,}(?!\S)",
-    r"\basdf\b.*\bjkl\b|\basdf\W+asdf\b|\bqwer(?:ty)?\W+asdf\b",
-    r"\b(blah|bla|foo|yada)\b(?:\W+\1\b){2,}",
-    r"^(?:test\W+){3,}",
-    r"\bplace ?holder (?:copy|text|content|paragraph)\b|\b(?:dummy|filler|sample|example) (?:copy|text|content|paragraph)\b(?! (?:of|from|for the|was|were|is|are)\b)",
-    r"\b(?:body|text|copy|content|caption|details|description)\b.{0,15}\b(?:to come|to follow|pending|coming soon)\b",
-    r"\byour (?:text|content|copy|title|summary) (?:goes )?here\b|\b(?:insert|enter|type|add|write|put) (?:your |the |some |a )?(?:\w+ ){0,3}(?:here|in this (?:box|field))\b",
-    r"\bclick (?:here )?to (?:add|edit) (?:sub)?(?:title|text|notes?)\b",
-    r"\breplace this (?:paragraph|text|sentence|section)\b|\bwill be replaced before (?:release|publication)\b|\breplace (?:me|before publishing)\b",
-    r"\bheading [1-9]\W*$|^heading \d(?: body text| heading)|^body text\b",
-    r"^(?:describe|write|summari[sz]e|explain)\b.{3,90}\bin (?:two|one|a few|three|\d) (?:or \w+ )?(?:sentences|words|lines)\W*$",
-    r"\(max\W? \d+ (?:words|characters)\)|\(max\W?$",
-    r"\bblindtext\b|\bplatzhaltertext\b|\bmustertext\b|\bhier (?:steht|kommt|folgt) (?:spater|noch|bald)\b|\bhier (?:ihren )?text (?:eingeben|einfugen)\b",
-    r"\btexto de (?:ejemplo|relleno|muestra)\b|\bescrib[ae] aqui\b|\b(?:inserte|introduzca|escriba) (?:aqui )?(?:el|su) texto\b|\bsu texto aqui\b",
-    r"\btexte (?:provisoire|factice|d.?exemple|de remplissage)\b|\b(?:saisissez|inserez|ecrivez|entrez) (?:ici )?votre texte\b|\bvotre texte ici\b",
-    r"\bvoorbeeldtekst\b|\bopvultekst\b|\bplaatshoudertekst\b|\bvul hier\b.{0,20}\bin\b|\b(?:typ|schrijf) hier uw\b|\buw tekst hier\b",
-    r"\bteks (?:contoh|pengganti|dummy)\b|\b(?:tulis|isi|ketik|masukkan)\b.{0,25}\bdi sini\b|\bharap diganti\b",
-)
-#: Error, refusal, expired-session and maintenance pages.
+#: What a page speaks of as its own subject; the second group is only a page's with a predicate that nothing else has.
+_SURE = "page|website|web site|url|uri|link|listing|video|file|document|content|article|post|server|service|portal|application|app|viewer|account|login|session|request|database|connection|gateway|host|host name|domain|resource|profile"
+_ALSO = "site|record|path|address|map|view|item|image|table|entry|data"
+_START = r"(?:^|[.;:,!?|>()·›/–—-]\s*|\b(?:but|sorry|oops|whoops|unfortunately)\W+|©\s?(?:\w+ ){0,3})(?:(?:the|this|that|your|our|an?|requested|current) ){0,3}(?:\w+ ){0,3}?"
+_WHICH = r"(?: (?:you|that you)(?: are|'re| were|'ve| have)? \w+(?: (?:for|to \w+))?| /\S*| \S*/\S*)?"
+_NOT = r"(?:not|n't|n.t)"
+_GONE = rf"(?:(?:is|was|are|were|can|could|does|did|has|have|may|might)(?: {_NOT}|n'?t)|(?:is|are|was) no longer|cannot|can't|couldn't|never|no longer)(?: (?:be|been|currently|longer|yet))?"
+_ENDS = r"(?=\W*$|\W*[,.;:(]| (?:on|at|from|in) (?:this|the|our|your) (?:server|moment|site|time|address|url|region|country)| (?:right )?now\b| any ?more\b| since \d{4}\b| or\b| and\b| due\b| because\b| by (?:its|the) (?:owner|author|user|server|firewall|gateway|administrator)| while\b)"
+#: Errors, refusals, expired sessions and maintenance: words of which one is needed, and the form. Read sentence by sentence, in lower case, without accents.
 ERROR_FORMS = (
-    r"^\W*(?:http|https|error|fehler|erreur|fout|kesalahan|status|code)\W{0,3}(?:error|code|status)?\W{0,3}[45]\d\d\b",
-    r"^\W*[45]\d\d\s*(?:[|:–—-] ?[a-z]|error\b|not found|forbidden|bad gateway|service unavailable|internal server|gateway time|unauthori[sz]ed|too many)",
-    r"^\W*(?:.{0,40} )?(?:not found|access denied|forbidden|unauthori[sz]ed|internal server error|bad gateway|service (?:temporarily )?unavailable|gateway time-?out|login required|too many requests|page not found|permission denied|bad request)\W*$",
-    r"\b(?:page|path|url|address|resource|record|document|content|site)\b(?: you \w+(?: \w+){0,3})?(?: \S+){0,3} (?:was|is|could|can|does|has|were)(?: not|n.?t)? ?(?:be |been )?(?:found|loaded|exist|moved|removed|reached|displayed|available)\b.{0,40}$(?<!chart)",
-    r"\bpage (?:you are|you.?re|you were) looking for\b|\bmoved or never existed\b|\bnothing lives at this address\b|\bcan(?:no|.?)t find (?:that|this|the) (?:record|page|document|address)\b",
-    r"\bsomething went wrong\b|^\W*oops\b|\bunexpected (?:condition|error) (?:has |was )?(?:occurred|encountered)?|\bhit an unexpected\b|\bcrashed unexpectedly\b|\ban error (?:has )?occurred\b",
-    r"\b(?:could not|couldn.?t|cannot|can.?t|unable to|failed to) connect to (?:the )?(?:database|server|host)\b|\bgateway time-?out\b|\b(?:request|connection) timed out\b|\bupstream gave no answer\b",
-    r"\brequest (?:was|has been) (?:refused|blocked|denied|rejected) by\b|\b(?:do|does) ?n[o']?t have (?:the )?permission to\b|\byou are not (?:authori[sz]ed|allowed) to (?:view|open|access|see)\b|\bnot authori[sz]ed to (?:view|open|access)\b",
-    r"\b(?:your )?session (?:has |is )?(?:expired|timed out|ended)\b|\byou have been (?:signed|logged) out\b|\b(?:sign|log) in again\b|\blink has expired\b|\b(?:please )?(?:log|sign) in to (?:continue|view|see)\b",
-    r"\b(?:down|closed|offline|unavailable) for (?:scheduled |planned )?maintenance\b|\b(?:under|undergoing) (?:scheduled |planned )?maintenance\b|\bwe.?(?:ll| will)? be back (?:shortly|soon)\b|\bcheck back (?:shortly|soon|later)\b",
-    r"\bno longer available\b|\b(?:please )?(?:try|retry)(?: again)? (?:later|in \d+ (?:seconds|minutes))\b|\bincident was logged as\b|\bcontact the (?:site |system )?administrator\b|\breload the page or\b",
-    r"\bseite (?:wurde )?nicht gefunden\b|\bsitzung ist abgelaufen\b|\bsitzung abgelaufen\b|\b(?:bitte )?(?:neu|erneut|wieder) anmelden\b|\bzugriff verweigert\b|\bwartungsarbeiten\b|\bversuchen sie es spater\b|\bspater (?:erneut|noch ?einmal|wieder)\b|\bein fehler ist aufgetreten\b|\bdienst (?:\w+ )?nicht verfugbar\b|\binterner serverfehler\b",
-    r"\bpage (?:introuvable|non trouvee)\b|\b(?:momentanement|temporairement) indisponible\b|\breessayez plus tard\b|\bsession (?:a )?expiree?\b|\bacces (?:refuse|interdit)\b|\ben maintenance\b|\bune erreur (?:s.est produite|est survenue)\b|\breconnectez-vous\b|\berreur interne\b",
-    r"\bpagina (?:solicitada )?no (?:existe|encontrada|se encuentra)\b|\bpagina solicitada\b|\bacceso denegado\b|\biniciar sesion\b|\binicie sesion\b|\bsesion (?:ha )?(?:caducado|expirado)\b|\ben mantenimiento\b|\bintentelo (?:de nuevo )?mas tarde\b|\berror interno\b|\bservicio no disponible\b|\balgo salio mal\b",
-    r"\bpagina niet gevonden\b|\ber ging iets mis\b|\bprobeer het (?:later )?(?:opnieuw|nog)\b|\btoegang geweigerd\b|\bsessie is verlopen\b|\bmeld u opnieuw aan\b|\blog opnieuw in\b|\bin onderhoud\b|\bwegens onderhoud\b|\bniet beschikbaar\b.{0,12}$|\binterne serverfout\b",
-    r"\bhalaman tidak ditemukan\b|\bterjadi kesalahan\b|\bcoba lagi nanti\b|\bakses ditolak\b|\bsesi (?:anda )?(?:telah )?(?:berakhir|habis|kedaluwarsa)\b|\bsilakan masuk (?:lagi|kembali)\b|\bdalam (?:perbaikan|pemeliharaan)\b|\blayanan tidak tersedia\b",
+    ("found|load|display|reach|open|exist|availab|accessib|process|respond|valid|locat|connect|complete", rf"{_START}(?:{_SURE}|{_ALSO}){_WHICH} {_GONE} (?:found|loaded|displayed|reached|opened|exists?|existed|available|accessible|reachable|processed|completed|established|responding|respond|load|valid|located|accessed|active|online|supported){_ENDS}"),
+    ("unavailable|unreachable|offline|down|maintenance|suspended|terminated|interrupted|blocked|refused|denied|rejected|removed|deleted|moved|expired|timed|crashed|failed|ended|disabled|reset", rf"{_START}(?:{_SURE}){_WHICH} (?:(?:is|was|are|were|has|have)(?: been)?(?: currently| temporarily| now| already)? )?(?:unavailable|unreachable|offline|down|suspended|terminated|interrupted|blocked|refused|denied|rejected|removed|deleted|moved|expired|timed out|crashed|failed|reset)(?: unexpectedly| or never existed)?{_ENDS}"),
+    ("session", r"\byour session (?:has |is |was )?(?:expired|timed out|ended|closed)\b|^\W*session (?:expired|timed out)"),
+    ("maintenance", rf"(?:{_START}(?:{_SURE}|site|we)(?:'re| is| are| was)(?: currently| temporarily)? |^\W*(?:currently |temporarily )?)(?:(?:down|offline|closed|unavailable) for |under |undergoing |in |performing |doing )(?:(?:scheduled|planned|routine) )?maintenance\b|^\W*(?:scheduled|planned|routine|site) maintenance\b"),
+    ("permission|authori|allowed", rf"\byou (?:do {_NOT}|don't|are {_NOT}|aren't|lack|have no)\b.{{0,12}}\b(?:permission|authori[sz]ed|authori[sz]ation|allowed) ?(?:to (?:view|open|access|see|use|edit|perform)\b|\W*$)|^\W*not authori[sz]ed to (?:view|open|access)\b"),
+    ("log|sign", r"\byou (?:must|need to|have to) (?:be )?(?:logged|signed|log|sign) ?in\b|\byou(?:'ve| have)? (?:been |were )(?:signed|logged|locked) out\b|(?:^|please |, ?|[.:;] ?|and )(?:sign|log) ?in (?:again|to (?:continue|view|see|access|proceed|your account))\b|^\W*(?:login|log-in|sign-in|authentication) required\b"),
+    ("find|load|locate|open|process|connect|reach|unable to", rf"\bwe (?:could {_NOT}|couldn't|can(?:no|')t|cannot|can't seem to|are unable to|were unable to) (?:find|load|locate|open|process|connect to|reach) (?:the|this|that|your|any)\b.{{0,12}}\b(?:{_SURE}|{_ALSO})\b|(?:^|[:,;] ?)(?:could {_NOT}|couldn't|cannot|can't|unable to|failed to) (?:connect to|reach|load|find|open) (?:the |this |that )?(?:{_SURE}|{_ALSO})\b|\b(?:could {_NOT}|couldn't|cannot|can't|unable to|failed to) connect to (?:the )?(?:database|server|host)\b|{_START}(?:{_SURE}) (?:is|was)(?: temporarily| currently)? unable to\b"),
+    ("looking for", r"\bpage you(?:'re| are| were) looking for\b"),
+    ("nothing lives", r"\bnothing lives at this (?:address|url)\b"),
+    ("wrong|something|oops|whoops|uh-oh", r"\bsomething (?:went wrong|broke|failed)\b|^\W*(?:oops|whoops|uh-oh)\b"),
+    ("unexpected|unknown|internal|fatal|unhandled", rf"(?:^|[.;:,!?|>–—-]\s*|{_START}(?:{_SURE}) (?:hit|encountered|returned|had|ran into) )an? (?:unexpected|unknown|internal|fatal|unhandled) (?:server |application )?(?:error|problem|exception|condition)\b"),
+    ("error", r"(?:^|[.;:,!?|>–—-]\s*)an? (?:\w+ )?error (?:has |was )?(?:occurred|encountered|happened)\b"),
+    ("logged|recorded", r"\b(?:incident|error) (?:was|has been) (?:logged|recorded) (?:as|under)\b"),
+    ("try|refresh|reload|slow down", r"(?:^|[.;:,!?–—-]\s*|\bplease |\band )(?:try|retry)(?: again| it)?(?: (?:later|shortly|soon|in (?:a few|some|\d+) (?:seconds|minutes|moments|hours)))\b|(?:^|[.;:,!?–—-]\s*|\bplease |\band )try again\W*$|(?:^|\bplease |[.;:,]\s*)(?:refresh|reload) (?:the|this) page\b|\brefresh and try again\b|^\W*slow down and retry\b"),
+    ("back|return", r"\bwe(?:'ll| will)? (?:be back|return) (?:shortly|soon|online)\b|\bwill return (?:shortly|soon)\W*$|\bcheck back (?:shortly|soon|later)\b"),
+    ("contact", r"(?:^|\bplease |\bor |[.;:,]\s*)contact (?:the |your |our )?(?:site |system |web ?)?(?:administrator|admin|webmaster|support team|help ?desk)\b"),
+    ("4|5", r"^\W*(?:http(?:/\d(?:\.\d)?)?|error|fehler|erreur|fout|kesalahan|status|code)\W{0,3}(?:error|code|status)?\W{0,3}[45]\d\d\b(?! (?:boxes|images|files|rows|m\b|km\b|items))"),
+    ("40|41|42|50", r"^\W*(?:40[0-9]|41[0-9]|42[0-9]|50[0-9])\s*(?:[|:–—-] ?[a-z]|error\b|not found|forbidden|bad (?:gateway|request)|service unavailable|internal server|gateway time|unauthori[sz]ed|too many)|\bhttp(?:/\d(?:\.\d)?)? (?:error )?[45]\d\d (?:not found|forbidden|bad (?:gateway|request)|service unavailable|internal server|gateway time|unauthori[sz]ed|too many)"),
+    ("found|denied|forbidden|authori|error|gateway|unavailable|request|required|time", r"^\W*(?:.{0,40}[|>:–—-] ?|\S+(?: \S+){0,2} › )?(?:(?:page |file )?not found|access (?:denied|forbidden)|forbidden|unauthori[sz]ed|internal server error|bad gateway|service (?:temporarily )?unavailable|gateway time-?out(?: while .{1,30})?|too many requests|permission denied|bad request|connection (?:refused|reset|timed out)|request timed out)(?=\W*$|, please)"),
+    ("too many requests|gateway time|err_|upstream", r"\b(?:too many requests|gateway time-?out|err_[a-z]{3,}|upstream gave no answer)\b"),
+    ("request|access|connection", r"^\W*(?:your )?(?:request|access|connection)(?: to (?:this|the) (?:resource|page|site|server|content|document))? (?:(?:was|is|has been) )?(?:blocked|denied|refused|rejected|restricted|forbidden)(?=\W*$| by (?:the |our )?(?:security|firewall|gateway|server|administrator|policy|network|system))"),
+    ("was refused|has been refused|was blocked|has been blocked|was rejected", r"\byour request (?:was|has been) (?:refused|blocked|rejected)\b"),
+    ("seite|datei|dienst|server|inhalt|dokument|datensatz|link", r"\b(?:(?:web)?seite|datei|dienst|inhalt|dokument|datensatz|link|server)\b.{0,40}\b(?:nicht (?:mehr )?(?:gefunden|erreichbar|verfugbar|geladen|vorhanden|gultig)|existiert (?:nicht|leider)|antwortet nicht|reagiert nicht)\b"),
+    ("fehler|sitzung|anmelden|melden sie|zugriff|berechtigung|wartungsarbeiten|versuchen sie|spater", r"\bein(?: \w+)? (?:server)?fehler (?:ist )?aufgetreten\b|\bsitzung (?:ist )?abgelaufen\b|\bmelden sie sich\b.{0,12}\b(?:neu|erneut|wieder) an\b|\b(?:neu|erneut|wieder) anmelden\b|\bzugriff (?:wurde )?verweigert\b|\bkeine berechtigung\b|\bwartungsarbeiten\b|\bversuchen sie es\b.{0,12}\b(?:spater|erneut|nochmals?)\b|\bspater (?:erneut|noch ?einmal|wieder)\b|\binterner serverfehler\b"),
+    ("page|site|fichier|document|contenu|lien|service|serveur|fiche", r"\b(?:page|site|fichier|document|contenu|lien|service|serveur|fiche)\b.{0,30}(?:\bn'existe (?:plus|pas)|\bintrouvable\b|\bnon trouve|\bn'est (?:plus|pas) (?:disponible|accessible)|\bn'a pas (?:pu |ete )|\bindisponible\b|\bne repond pas\b)"),
+    ("erreur|session|reessay|acces|maintenance|reconnect|permission|autoris|droit", r"\berreur\b.{0,15}(?:est survenue|s.est produite)\b|\bsession (?:a |est )?expire|\breessay(?:ez|er)\b|^\W*acces (?:refuse|interdit)\b|\ben (?:cours de )?maintenance\b|\breconnect(?:ez-vous|er)\b|\bn'avez pas (?:la permission|l'autorisation|acces|les droits)|\berreur interne\b"),
+    ("pagina|sitio|servicio|servidor|enlace|sistema", r"\b(?:pagina|sitio|servicio|servidor|enlace|sistema)\b.{0,30}\b(?:no (?:existe|encontrada|se encuentra|se encontro|disponible|esta disponible|responde)|en mantenimiento)\b"),
+    ("error|sesion|permiso|intentelo|acceso denegado|salio mal|mantenimiento", r"\b(?:ocurrido|producido|produjo|ocurrio) un error\b|\bsesion (?:ha )?(?:caducado|expirado|caduco|expiro)\b|\binici(?:ar|e) sesion\b|\bno tiene (?:permiso|acceso|autorizacion)\b|\bintentelo (?:de nuevo|otra vez|mas tarde)\b|^\W*(?:.{0,30}[|>:–—-] ?)?acceso denegado\b|\balgo salio mal\b|\berror interno\b|^\W*en mantenimiento\b"),
+    ("pagina|site|dienst|server|bestand", r"\b(?:pagina|site|website|dienst|server|bestand|document)\b.{0,30}\b(?:bestaat niet|niet (?:meer )?(?:worden )?(?:gevonden|geladen|geopend|beschikbaar|bereikbaar)|reageert niet|offline|wegens onderhoud|in onderhoud)\b"),
+    ("fout|iets mis|probeer|sessie|opnieuw|toegang|onderhoud|toestemming", r"\bfout opgetreden\b|\ber ging iets mis\b|\bprobeer het\b.{0,12}\b(?:later|opnieuw|nog)\b|\bsessie is verlopen\b|\b(?:log|meld u) opnieuw (?:in|aan)\b|\btoegang geweigerd\b|\bgeen (?:toegang tot|toestemming om) deze\b|^\W*wegens onderhoud\b|\binterne serverfout\b"),
+    ("halaman|situs|layanan|server|tautan", r"\b(?:halaman|situs|layanan|server|tautan)\b.{0,25}\b(?:tidak (?:ditemukan|tersedia|ada|merespons?|dapat diakses)|dalam (?:perbaikan|pemeliharaan))\b"),
+    ("kesalahan|coba lagi|akses ditolak|sesi|silakan masuk|izin|pemeliharaan|perbaikan", r"\bterjadi kesalahan\b|\bcoba lagi\b|^\W*(?:.{0,30}[|>:–—-] ?)?akses ditolak\b|\bsesi (?:anda )?(?:telah |sudah )?(?:berakhir|habis|kedaluwarsa|kadaluarsa)\b|\bsilakan masuk (?:lagi|kembali)\b|\btidak memiliki (?:izin|akses)\b|^\W*(?:sedang )?dalam (?:perbaikan|pemeliharaan)\b"),
 )
-_SCRIPT = r"(?:java ?script|active scripting|scripting|scripts|script support|cookies|skripte|javascripts)"
+_S = r"\b(?:java ?scripts?|js|active scripting|scripting|scripts|script support|cookies?|skripten?)\b"
+_ASKED = "script|cookie|skript|js"
 #: Notices that scripts, cookies or another browser are needed.
 SCRIPT_FORMS = (
-    rf"\b(?:enable|activate|turn on|switch on|allow|accept|needs?|requires?|without|unblock)\b.{{0,40}}\b{_SCRIPT}\b",
-    rf"\b{_SCRIPT}\b.{{0,60}}\b(?:enabled?|disabled|allowed|required|necessary|needed|must be|turned off|switched off|blocked)\b",
-    r"\bbrowser (?:is )?(?:not |un)supported\b|\b(?:newer|modern|different|another|supported|up-to-date) (?:web )?browser (?:is|to|for)\b|\b(?:update|upgrade) your browser\b|\bchecking your browser\b|\byour browser (?:has|does|is)\b",
-    rf"<noscript>|\bnoscript\b",
-    rf"\b(?:activ\w+|habilit\w+|necesita|requiere|permita)\b.{{0,30}}\b{_SCRIPT}\b|\b{_SCRIPT}\b.{{0,20}}\b(?:habilitad\w+|activad\w+|desactivad\w+)\b|\bnavegador no (?:es compatible|compatible|admite)\b|\bactualice su navegador\b",
-    rf"\baktivier\w*\b.{{0,30}}\b{_SCRIPT}\b|\b(?:benotigt|erfordert|braucht)\b.{{0,20}}\b{_SCRIPT}\b|\b{_SCRIPT}\b.{{0,30}}\b(?:aktivier\w+|deaktiviert|erforderlich|benotigt|einschalten)\b|\bbrowser wird nicht unterstutzt\b",
-    rf"\b(?:veuillez )?activ(?:er|ez)\b.{{0,30}}\b{_SCRIPT}\b|\b(?:necessite|requiert)\b.{{0,20}}\b{_SCRIPT}\b|\bnavigateur n.?est pas (?:pris en charge|compatible|supporte)\b|\bmettez a jour votre navigateur\b",
-    rf"\b(?:zet|schakel|sta)\b.{{0,12}}\b{_SCRIPT}\b.{{0,15}}\b(?:aan|in|toe)\b|\b(?:vereist|heeft)\b.{{0,20}}\b{_SCRIPT}\b|\bbrowser wordt niet ondersteund\b",
-    rf"\b(?:aktifkan|nyalakan|izinkan|membutuhkan|memerlukan|perlu)\b.{{0,20}}\b{_SCRIPT}\b|\b(?:peramban|browser) (?:anda )?tidak didukung\b|\bperbarui (?:peramban|browser)\b",
+    (_ASKED, rf"\b(?:enable|activate|turn on|switch on|turning on|allow|accept|unblock|permit)\b(?! (?:the|a|an|for) (?!cookies|use)).{{0,25}}{_S}|\b(?:needs?|requires?|runs? only with|works? (?:only|best) with|works? properly without|properly without|load without|without)\b(?: \w+){{0,2}} ?{_S}"),
+    (_ASKED, rf"{_S}.{{0,60}}\b(?:(?:must|has to|have to|needs? to|should) be|(?:is|are)(?: currently)?) (?:enabled|disabled|allowed|required|necessary|needed|active|on|off|blocked|turned off|switched off|turned on|switched on)(?=\W*$|\W*[,;:(]| (?:to|for|by|in|before|on this|and)\b)|{_S}.{{0,20}}\b(?:turned|switched) (?:on|off)\W*$|{_S}.{{0,40}}\b(?:switch|turn) (?:them|it) on\b"),
+    ("browser|internet explorer", r"\byour (?:web ?)?browser\b.{0,12}\b(?:not support\w*|unsupported|not supported|out of date|out-of-date|outdated|too old|no longer supported|has it disabled|blocks)\b|\b(?:internet explorer|this browser|browser) (?:is|are) (?:not|no longer|un)\s?supported\b|\b(?:newer|modern|different|another|supported|up-to-date|recent) (?:web )?browser (?:is (?:needed|required)|to (?:view|see|use|open|display)|version)|\b(?:update|upgrade) your browser\b|\b(?:checking|verify|verifying) your browser\b"),
+    ("noscript", r"<noscript>|\bnoscript\b"),
+    (_ASKED, rf"\b(?:aktivier|erlaub|akzeptier|zulass|schalt)\w*\b.{{0,25}}{_S}|{_S}.{{0,25}}\b(?:aktivier\w+|deaktiviert|erforderlich|benotigt|einschalten|ausgeschaltet|zulassen)\b|\b(?:ohne|benotigt|erfordert|braucht)\b.{{0,15}}{_S}"),
+    (_ASKED, rf"\b(?:activ(?:er|ez)|autoris(?:er|ez)|accept(?:er|ez)|necessite|requiert|sans)\b.{{0,25}}{_S}|{_S}.{{0,15}}\b(?:desactives?|requis|necessaires?|bloques?)\b"),
+    (_ASKED, rf"\b(?:active|activar|habilite|habilitar|aceptar|acepte|permita|permitir|necesita|requiere|sin)\b.{{0,25}}{_S}|{_S}.{{0,15}}\b(?:habilitad\w+|deshabilitad\w+|desactivad\w+|activad\w+|necesari\w+)\b"),
+    (_ASKED, rf"\b(?:zet|schakel|sta)\b.{{0,12}}{_S}.{{0,15}}\b(?:aan|in|toe)\b|\baccepteer\b.{{0,12}}{_S}|\b(?:vereist|heeft|zonder)\b.{{0,15}}{_S}|{_S}.{{0,15}}\b(?:uitgeschakeld|ingeschakeld|vereist|nodig)\b"),
+    (_ASKED, rf"\b(?:aktifkan|nyalakan|hidupkan|izinkan|terima|membutuhkan|memerlukan|tanpa)\b.{{0,15}}{_S}|{_S}.{{0,15}}\b(?:dinonaktifkan|diaktifkan|diperlukan|harus)\b"),
+    ("browser|navig|naveg|peramban", r"\bbrowser (?:ist veraltet|wird nicht unterstutzt|is verouderd|wordt niet ondersteund|anda (?:tidak didukung|sudah usang))\b|\bnavigateur (?:n.est (?:pas|plus)|est (?:obsolete|trop ancien))|\bmettez a jour votre navigateur\b|\bnavegador (?:no (?:es compatible|compatible|admite)|esta (?:desactualizado|obsoleto))\b|\bactualice su navegador\b|\bperamban (?:anda )?(?:tidak didukung|sudah usang)\b|\bperbarui (?:peramban|browser)\b"),
 )
-#: A sentence with one of these reports on a page, or on what was done about it, unless a page speaks in its main clause (``_reported``).
-REPORTS = (
-    r"\bsince \d{4}\b|\bit is enabled on\b|\bwas (?:repeated|enabled|fixed)\b|\bno longer matter\b|\brequired reading\b|\bwe (?:saw|got|noted|logged)\b"
-    r"|\banswered\b|\bsaid\b|\bslate\b|\bso crew\b|\bby the\b.{0,30}\bkeeper\b|\bwere all filled\b|\bbecause\b.{0,60}\bwere (?:copied|saved)\b"
+_WRITTEN = "text|copy|content|section|paragraph|chapter|description|body|caption|summary|introduction"
+#: Filler in place of text still to be written.
+FILLER_FORMS = (
+    ("lorem|ipsum|consectetu|adipisc|perspiciatis|voluptat|dignissimos|incididunt", r"\b(?:lorem|ipsum|consectetu\w+|adipisc\w+|perspiciatis|voluptat\w+|dignissimos|incididunt)\b"),
+    ("xxx|…|....|. . |____", r"\b(?:x{3,}\s+){2,}x{3,}\b|(?:…\s*){4,}|(?:\.\s?){8,}|(?<!\S)_{6,}(?!\S)"),
+    ("asdf", r"\basdf\b.*\bjkl\b|\basdf\W+asdf\b|\bqwer(?:ty)?\W+asdf\b"),
+    ("bla|foo|yada", r"\b(blah|bla|foo|yada)\b(?:\W+\1\b){2,}"),
+    ("test", r"^(?:test\b\W*){3,}$"),
+    ("placeholder|dummy|filler|sample|example", r"\b(?:dummy|filler|place ?holder|sample|example) (?:copy|text|content|paragraph)\b(?! (?:of|from|for the|was|were|is|are|shows?|showed|lists?|gives?|helps?|in the)\b)|^\W*place ?holder\s*[:.,–—-]|\b(?:is|as) an? place ?holder\b(?! for (?:missing|unknown|empty))"),
+    ("to come|to follow|pending|coming soon|later|supplied|to be |construction|completed", rf"\b(?:{_WRITTEN}|details)\b.{{0,12}}\b(?:to come|to follow|pending|coming soon)\b|\b(?:{_WRITTEN})\b (?:is )?(?:to|will) be (?:supplied|added|written|completed|provided|inserted|filled in|replaced)\b|^\W*(?:more )?coming soon\b|^\W*(?:this |the )?(?:page|section|chapter|site) (?:is )?(?:still )?under construction\b|^\W*to be (?:added|written|completed|supplied|announced|determined)\W*$"),
+    ("todo|tbd|tba|tbc|fixme", r"^\W*(?:todo|fixme)\W+(?:write|add|fill|insert|complete|finish|expand|describe|replace)\b|^\W*(?:tbd|tba|tbc)\W*$"),
+    ("here|this box|this field|this space", r"^\W*(?:\w+[^.]{0,30}[:|>–—-] )?your (?:\w+ ){1,2}(?:goes )?here\W*$|\byour text (?:goes )?here\b|\b(?:copy|text|content|title) goes here\b|(?:^|[:|>–—-] |\bplease )(?:insert|enter|type|add|write|put|describe) (?:\S+ ){0,8}(?:here|in this (?:box|field|space))(?=\W*$|\W*\()"),
+    ("click", r"\bclick (?:here )?to (?:add|edit) (?:the |your |a )?(?:sub)?(?:title|text|notes?)\b"),
+    ("replace", r"\breplace (?:this|me|with)\b.{0,12}\b(?:paragraph|text|sentence|section|final)\b|\bwill be replaced before (?:release|publication|launch)\b|^\W*replace (?:me|before publishing)\b"),
+    ("heading|body text", r"\bheading [1-9]\W*$|^\W*heading \d(?: body text| heading)|^\W*body text\b"),
+    ("sentence|words|lines|paragraph", r"^\W*(?:describe|write|summari[sz]e|explain)\b.{3,90}\bin (?:two|one|a few|three|\d) (?:or \w+ )?(?:sentences|words|lines)\W*$|^\W*(?:write|give|provide) (?:\w+ ){1,3}(?:sentences|words|paragraphs?|lines) (?:about|on|for)\b"),
+    ("(max", r"\(max\W? \d+ (?:words|characters)\)|\(max\W?$"),
+    ("text|platzhalter|hier", r"\bblindtext\b|\bplatzhalter(?:text)?\b|\bmustertext\b|\bfulltext\b(?! search)|\bhier (?:steht|kommt|folgt) (?:spater|noch|bald)\b|\b(?:text|beschreibung|inhalt) folgt\b|\bhier (?:\w+ ){0,4}(?:eingeben|einfugen|eintragen)\b"),
+    ("texte|ici|completer", r"\btexte (?:a (?:venir|completer|inserer|rediger)|provisoire|factice|d.?exemple|de remplissage)\b|\b(?:saisissez|inserez|ecrivez|entrez|redigez) (?:ici|votre texte)\b|\bvotre (?:texte|titre|nom|contenu) ici\b|^\W*a completer\W*$"),
+    ("texto|aqui", r"\btexto (?:de (?:ejemplo|relleno|muestra|prueba)|pendiente|provisional)\b|\b(?:escrib[ae]|inserte|introduzca|anada|ingrese) aqui\b|\b(?:inserte|introduzca|escriba) el texto\b|\bsu (?:texto|titulo|nombre|contenido) aqui\b"),
+    ("tekst|hier", r"\btekst (?:volgt|komt) (?:nog|later)\b|\bhier (?:komt|volgt) (?:nog|later)\b|\b(?:voorbeeld|opvul|plaatshouder)tekst\b|\b(?:voer|vul|typ|schrijf|plaats) hier\b|\buw (?:tekst|titel|naam) hier\b"),
+    ("teks|sini|diganti", r"\bteks (?:menyusul|pengisi|contoh|pengganti|dummy)\b|\b(?:tulis|isi|ketik|masukkan)\w*\b.{0,35}\bdi sini\b|\b(?:judul|teks|nama) anda di sini\b|\bharap diganti\b"),
 )
-#: What error pages and notices speak of as their own subject.
-_PAGE = (
-    "page|site|website|server|session|you|your|service|request|link|account|browser|document|record|resource|address|url|path|content|database|host"
-    "|connection|gateway|error|incident|condition|access|permission|something|javascript|scripts?|scripting|cookies"
+#: What passes on what a page said, before the words of the page.
+SAYS = r"\b(?:said|says|answered|replied|told|reported|showed|shows|saw|noted|wrote|written|explains?|explained|means|meant|mentions?|why|whether)\b"
+#: Somebody's doings in the past: a sentence with them tells a story, it isn't a page's own message.
+TELLS = (
+    r"\b(?:we|i|he|she|they|(?:the|a|our|two|all|both|most|some) (?:\w+ )?(?:crews?|team|keepers?|volunteers?|annotators?|students?|boats?|office|staff))"
+    r" (?:(?!encountered|moved|removed|expired|needed)\w{2,}ed|saw|got|went|took|came|left|kept|began|made|wrote|ran|sent|met|lost)\b"
 )
-#: A clause with one of these passes on what was said or seen.
-SAYS = r"\b(?:said|says|answered|replied|told|reported|showed|saw|noted|wrote|written)\b|\b(?:we|i|he|she|they) (?:got|logged)\b"
-#: Where a clause ends, openings of a clause before the main one, and openings of a main clause on a page.
-CLAUSE = r"[,;:] | [–—-] |\s(?=(?:because|since|so|which|while|when|after|until|although|but)\b)"
-BEFORE_MAIN = r"\W*(?:(?:because|since|while|when|after|until|although|as|on|at|in) [^,]*, |(?:we.?re |we are )?(?:sorry|oops)\W+(?:but )?)"
-PAGE_SUBJECT = rf"\W*(?:(?:the|this|that|our|an?|requested|web|unexpected|internal) ){{0,3}}(?:{_PAGE})\b"
+#: A demand that the sentence says is met.
+MET = r"\b(?:is|are|was|were|has been|have been) (?:now |already |since )?(?:enabled|installed|allowed|fixed|restored|switched on|turned on) (?:on|at|for|with|everywhere|again)\b"
 #: A sentence with one of these explains a field that it quotes.
 EXPLAINS = r"\b(?:template|placeholder|fields?|replaces?|expands?|written|variable|wrapper|syntax|filled in)\b"
-#: The first five letters of words of which every sentence pattern needs one; other sentences are not searched for them.
-TRIGGERS = frozenset(
-    "lorem ipsum xxx xxxx xxxxx asdf qwer qwert blah bla foo yada test place dummy fille sampl examp body copy conte capti detai descr"
-    " text your here box field click repla headi write summa summe expla max blind platz muste hier texto escri inser intro texte saisi"
-    " ecriv entre votre voorb opvul plaat vul typ schri uw teks tulis isi ketik masuk harap http https error fehle erreu fout kesal statu"
-    " code found acces forbi unaut inter bad servi gatew login too page permi url path addre resou recor docum conte site moved nothi find"
-    " went oops unexp crash occur conne timeo timed time upstr reque autho allow sessi signe logge sign log link maint back check longe try"
-    " retry incid conta reloa seite sitzu neu erneu wiede anmel zugri wartu versu spate diens momen tempo reess expir recon produ surve pagin"
-    " inici sesio mante inten algo probe ging toega meld opnie onder niet halam terja coba akses sesi silak dalam layan javas java activ"
-    " scrip cooki skrip brows noscr naveg navig habil neces requi permi aktiv aktif benot erfor brauc unblo enabl needs need turn switc"
-    " accep witho zet schak sta verei heeft nyala izink membu memer perlu peram perba updat upgra mette actua".split()
-)
 #: Function words of the languages at hand; filler in make-believe Latin has none.
 _FUNCTION = frozenset(
     "the a an of to in is was were are and or with for from at by on it we not der die das und ein eine ist im den dem mit von auf nicht"
@@ -140,12 +158,24 @@ _LATIN = re.compile(r"(?:um|us|is|it|am|as|or|ere|are|que|alem|endo|ica|osa|iter
 # ---------------------------------------------------------------------------------------------------
 
 _FIELDS = re.compile("|".join(FIELD_FORMS), re.IGNORECASE)
-_KINDS = (("filler", re.compile("|".join(f"(?:{p})" for p in FILLER_FORMS if r"\1" not in p))),
-          ("filler", re.compile(next(p for p in FILLER_FORMS if r"\1" in p))),
-          ("script", re.compile("|".join(f"(?:{p})" for p in SCRIPT_FORMS))),
-          ("error", re.compile("|".join(f"(?:{p})" for p in ERROR_FORMS))))
-_REPORTS, _EXPLAINS, _SAYS = re.compile(REPORTS), re.compile(EXPLAINS), re.compile(SAYS)
-_CLAUSE, _BEFORE_MAIN, _PAGE_SUBJECT = re.compile(CLAUSE), re.compile(BEFORE_MAIN), re.compile(PAGE_SUBJECT)
+#: (kind, form) by number, and the automaton that finds the words of which a form needs one, with the forms' numbers.
+_RULES = [(kind, re.compile(form)) for kind, forms in (("filler", FILLER_FORMS), ("script", SCRIPT_FORMS), ("error", ERROR_FORMS)) for _, form in forms]
+
+
+def _automaton() -> ahocorasick.Automaton:
+    needs: dict[str, list[int]] = {}
+    for number, (words, _) in enumerate([*FILLER_FORMS, *SCRIPT_FORMS, *ERROR_FORMS]):
+        for word in words.split("|"):
+            needs.setdefault(word, []).append(number)
+    out = ahocorasick.Automaton()
+    for word, numbers in needs.items():
+        out.add_word(word, tuple(numbers))
+    out.make_automaton()
+    return out
+
+
+_NEEDS = _automaton()
+_SAYS, _TELLS, _MET, _EXPLAINS = re.compile(SAYS), re.compile(TELLS), re.compile(MET), re.compile(EXPLAINS)
 _FENCE = re.compile(r"```.*?```|~~~.*?~~~", re.DOTALL)
 _CODE = re.compile(r"`[^`\n]{1,200}`|(?m:^\s*\$ .*$)")
 _QUOTE = re.compile(r"\"[^\"\n]{1,80}\"|“[^”\n]{1,80}”|„[^“”\n]{1,80}[“”]|(?<!\w)'[^'\n]{3,80}'(?!\w)")
@@ -153,8 +183,7 @@ _MARKS = re.compile(r"[\u0300-\u036f]+")
 _LETTERS = re.compile(r"[a-z]+")
 _NUMBERED = re.compile(r"\S*\d\S*")
 _MAYBE_FIELD = re.compile(r"[{}\[<«@#?]|__|%\w|%\(|\$\(|\*\|")
-_ODD = re.compile(r"^\W*[45]\d\d\b|…|\.{4}|\. \. |__|xxx|asdf")
-_SENTENCE = re.compile(r"(?<=[.!?…])\s+|\n")
+_SENTENCE = re.compile(r"(?<=[.!?…])\s+")
 _DAMAGED = re.compile(r"[ÂÃâ][\u0080-¿€‚-™Œ-ƒ]{1,2}")
 
 
@@ -186,21 +215,26 @@ def _latin_words(words: list[str]) -> bool:
     return len(words) >= 6 and _FUNCTION.isdisjoint(words) and sum(bool(_LATIN.search(w)) for w in words) >= 0.7 * len(words)
 
 
-def _pseudo_latin(said: str, words: list[str]) -> bool:
+def _pseudo_latin(said: str) -> bool:
     """Whether the words of a sentence, or those between two words with digits, are make-believe Latin."""
-    return _latin_words(words) or (len(words) > 6 and any(_latin_words(_LETTERS.findall(run)) for run in _NUMBERED.split(said)))
+    rough = said.split()
+    free = 0
+    for word in rough:  # six words in a row without a function word are needed anyway
+        free = 0 if word in _FUNCTION else free + 1
+        if free == 6:
+            break
+    else:
+        return False
+    if _FUNCTION.isdisjoint(rough) and _latin_words(_LETTERS.findall(said)):
+        return True
+    return len(rough) > 6 and any(c.isdigit() for c in said) and any(_latin_words(_LETTERS.findall(run)) for run in _NUMBERED.split(said))
 
 
-def _reported(said: str, at: int) -> bool:
-    """Whether a sentence only reports what a pattern found at ``at``: it has a report, and what was found is not the message of its main clause."""
-    if not _REPORTS.search(said):
+def _reported(kind: str, said: str, end: int) -> bool:
+    """Whether a sentence only passes on, tells or has settled what a form found up to ``end``."""
+    if kind == "filler":
         return False
-    before = _BEFORE_MAIN.match(said)
-    begin = before.end() if before else 0
-    end = _CLAUSE.search(said, begin)
-    main = said[begin : end.start() if end else len(said)]
-    own = at <= begin or (at < begin + len(main) and _PAGE_SUBJECT.match(main))
-    return not own or bool(_SAYS.search(main))
+    return bool(_SAYS.search(said, 0, end) or _TELLS.search(said) or (kind == "script" and _MET.search(said, end)))
 
 
 def evidence(text: str | None) -> list[tuple[int, str]]:
@@ -228,26 +262,49 @@ def evidence(text: str | None) -> list[tuple[int, str]]:
                 if not quoted or not _EXPLAINS.search(line[begin : m.end() + 80].lower()):
                     out.append((number, "field"))
                     break
-    for number, line in enumerate(plain(_QUOTE.sub(" ", text)).split("\n")):
-        for sentence in _SENTENCE.split(line):
-            said = sentence.strip()
-            words = _LETTERS.findall(said)
-            searched = not TRIGGERS.isdisjoint([w[:5] for w in words]) or _ODD.search(said)
-            for kind, pattern in _KINDS if searched else ():
-                found = pattern.search(said)
-                if found and not _reported(said, found.start()):
+    said_all = plain(_QUOTE.sub(" ", text) if '"' in text or "'" in text or "“" in text or "„" in text else text)
+    needed: dict[int, set[int]] = {}
+    for at, numbers in _NEEDS.iter(said_all):
+        needed.setdefault(at, set()).update(numbers)
+    places = sorted(needed)
+    at = next_ = 0
+    for number, line in enumerate(said_all.split("\n")):
+        until = at + len(line)
+        for first, last in _spans(line) if line else ():
+            rules: set[int] = set()
+            while next_ < len(places) and places[next_] < at + last:
+                if places[next_] >= at + first:
+                    rules |= needed[places[next_]]
+                next_ += 1
+            said = line[first:last].strip()
+            for rule in sorted(rules):
+                kind, form = _RULES[rule]
+                found = form.search(said)
+                if found and not _reported(kind, said, found.end()):
                     out.append((number, kind))
                     break
             else:
-                if _pseudo_latin(said, words):
+                if _pseudo_latin(said):
                     out.append((number, "filler"))
+        while next_ < len(places) and places[next_] <= until:
+            next_ += 1
+        at = until + 1
     return out
 
 
+def _spans(line: str) -> Iterator[tuple[int, int]]:
+    """Where the sentences of a line begin and end."""
+    at = 0
+    for m in _SENTENCE.finditer(line):
+        yield at, m.start()
+        at = m.end()
+    yield at, len(line)
+
+
 def line_keys(text: Column) -> Column:
     """A hash of each line in normal form: lower case, digits as 0, runs of white space as one blank; 0 for blank lines."""
-    norm = lambda x: F.trim(F.regexp_replace(F.regexp_replace(F.lower(x), r"\d+", "0"), r"(?U)\s+", " "))
-    return F.transform(F.split(text, "\n"), lambda x: F.when(norm(x) == "", F.lit(0).cast("long")).otherwise(F.xxhash64(norm(x))))
+    norm = F.regexp_replace(F.regexp_replace(F.lower(text), r"\d+", "0"), r"(?U)[^\S\n]+", " ")
+    return F.transform(F.split(norm, "\n"), lambda x: F.when(F.trim(x) == "", F.lit(0).cast("long")).otherwise(F.xxhash64(F.trim(x))))
 
 
 def recurrent_lines(documents: DataFrame, text: str, host: Column, least: int = RECURRENT, share: float = RECURRENT_SHARE) -> DataFrame:
@@ -258,45 +315,39 @@ def recurrent_lines(documents: DataFrame, text: str, host: Column, least: int =
     return counted.where(F.col("n") >= least).join(n, "host").where(F.col("n") >= share * F.col("n_docs")).select("host", "line")
 
 
+def without_boilerplate(documents: DataFrame, doc_id: str, text: str, host: Column) -> DataFrame:
+    """(doc, text): each text without its host's recurrent lines; a text of nothing else has them as its own.
+
+    Lines that open or close code stay, as what they enclose would be taken for text. A host has at
+    most as many recurrent lines as an average document divided by ``RECURRENT_SHARE``; they are one
+    row per host, sent to the workers if all of them are at most ``SENT`` and merge-joined by host otherwise.
+    """
+    lines = durable(recurrent_lines(documents, text, host).groupBy("host").agg(F.collect_set("line").alias("recurrent")))
+    n = lines.agg(F.sum(F.size("recurrent"))).first()[0] or 0
+    docs = documents.where(F.col(text).isNotNull()).select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text"), host.alias("host"))
+    joined = docs.join(F.broadcast(lines) if n <= SENT else lines.hint("merge"), "host", "left")
+    keep = lambda x, k: F.when((k != 0) & (x.rlike(r"^\s*(?:```|~~~)") | ~F.array_contains("recurrent", k)), x)
+    own = F.array_join(F.array_compact(F.zip_with(F.split("text", "\n"), line_keys(F.col("text")), keep)), "\n")
+    return joined.select("doc", F.when(F.col("recurrent").isNull(), F.col("text")).otherwise(F.coalesce(F.nullif(own, F.lit("")), "text")).alias("text"))
+
+
 def residue(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
     """(doc_id, kind): each document with evidence in what remains of it without its host's boilerplate.
 
-    Normalised lines are counted by host, and lines that recur (``recurrent_lines``) are subtracted;
-    a document that consists of recurrent lines alone has them as its own content. Only documents
-    with evidence are joined with the recurrent lines, as no other can be a case. A kind comes out
-    once per document. Null, empty and blank texts are no cases; a null host is a host like others.
+    Normalised lines are counted by host, lines that recur (``recurrent_lines``) are subtracted, and
+    what is left is searched. A kind comes out once per document. Null, empty and blank texts are no
+    cases; a null host is a host like others.
     """
-    source = F.coalesce(F.lower(F.trim(F.col(host))), F.lit(""))
-    lines = recurrent_lines(documents, text, source)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            kept, numbers, kinds = [], [], []
-            for i, value in enumerate(b.column(1)):
-                found = evidence(value.as_py())
-                if found:
-                    kept.append(i)
-                    numbers.append([n for n, _ in found])
-                    kinds.append([k for _, k in found])
-            if kept:
-                rows = pa.array(kept)
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0).take(rows), b.column(2).take(rows), b.column(1).take(rows), pa.array(numbers, pa.list_(pa.int32())), pa.array(kinds, pa.list_(pa.string()))],
-                    ["doc", "host", "text", "numbers", "kinds"],
-                )
-
-    marked = documents.where(F.col(text).isNotNull()).select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text"), source.alias("host"))
-    marked = spread(marked).mapInArrow(run, "doc long, host string, text string, numbers array<int>, kinds array<string>")
-    marked = durable(marked.withColumn("row", F.monotonically_increasing_id()))
-    single = marked.select("doc", "host", "row", "numbers", "kinds", F.posexplode(line_keys(F.col("text"))).alias("number", "line"))
-    own = (
-        single.where("line <> 0").join(lines.withColumn("boilerplate", F.lit(True)), ["host", "line"], "left")
-        .groupBy("row")
-        .agg(
-            F.first("doc").alias("doc"), F.first("numbers").alias("numbers"), F.first("kinds").alias("kinds"),
-            F.collect_list(F.when(F.col("boilerplate").isNull(), F.col("number"))).alias("left"),
-        )
-    )
-    zipped = F.arrays_zip("numbers", "kinds")
-    counted = F.when(F.size("left") == 0, zipped).otherwise(F.filter(zipped, lambda e: F.array_contains("left", e["numbers"])))
-    return own.select("doc", F.explode(F.array_distinct(F.transform(counted, lambda e: e["kinds"]))).alias("kind")).distinct().withColumnRenamed("doc", doc_id)
+            rows, kinds = [], []
+            for i, value in enumerate(b.column(1).to_pylist()):
+                for kind in sorted({k for _, k in evidence(value)}):
+                    rows.append(i)
+                    kinds.append(kind)
+            if rows:
+                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(rows)), pa.array(kinds, pa.string())], ["doc", "kind"])
+
+    left = without_boilerplate(documents, doc_id, text, F.coalesce(F.lower(F.trim(F.col(host))), F.lit("")))
+    return spread(left).mapInArrow(run, "doc long, kind string").distinct().withColumnRenamed("doc", doc_id)

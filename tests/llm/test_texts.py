@@ -1,5 +1,6 @@
 """Encoding, evaluation leakage and template residue."""
 
+import re
 from random import Random
 
 import numpy as np
@@ -7,7 +8,9 @@ import pytest
 
 from quillwort.llm.bpe import PIECES, VOCABULARY, BytePairEncoder, encode, read_ranks
 from quillwort.llm.leakage import PER_EDIT, WindowIndex, edit_distance, leaked_items, words
-from quillwort.llm.residue import evidence, residue
+from quillwort.llm.residue import ERROR_FORMS, FILLER_FORMS, SCRIPT_FORMS, evidence, plain, residue
+
+from tests.llm import fresh, sentences
 
 tiktoken = pytest.importorskip("tiktoken")
 
@@ -202,6 +205,38 @@ def test_no_evidence(text):
     assert evidence(text) == []
 
 
+def found_of(cases):
+    return [bool(evidence(s)) for text in cases.values() for s in text.split("\n")]
+
+
+@pytest.mark.parametrize(("found", "clean", "recall"), [
+    ([bool(evidence(s)) for h in (0, 1) for _, _, s in sentences.cases(h)], [s for h in (0, 1) for _, s in sentences.clean(h)], 0.95),
+    (found_of(fresh.FRESH_CASES), fresh.FRESH_CLEAN, 0.95),
+    (found_of(fresh.LAST_CASES), fresh.LAST_CLEAN, 0.9),  # written after all rules
+])
+def test_recall_and_precision_on_sentences(found, clean, recall):
+    wrong = [s for s in clean if evidence(s)]
+    assert sum(found) / len(found) >= recall
+    assert sum(found) / (sum(found) + len(wrong)) >= 0.95, wrong
+
+
+def test_every_form_can_be_reached():
+    """A form is only tried if one of its words is there, so each must have words that its matches hold."""
+    for words_, form in (*FILLER_FORMS, *SCRIPT_FORMS, *ERROR_FORMS):
+        assert all(w == w.lower() and w for w in words_.split("|"))
+        hit = [s for c in (sentences.CASES, fresh.FRESH_CASES, fresh.LAST_CASES) for t in c.values() for s in plain(t).split("\n") if re.search(form, s)]
+        assert all(any(w in s for w in words_.split("|")) for s in hit), (words_, hit)
+
+
+def test_many_recurrent_lines_are_joined(spark, monkeypatch):
+    rows = [(i, f"Report {chr(97 + i)}.\nAccess denied", "a") for i in range(25)] + [(90, "Access denied", "a"), (91, "```\nAccess denied\n```", "b")]
+    df = spark.createDataFrame(rows, "doc_id int, text string, source string")
+    want = [(90, "error")]
+    assert sorted(map(tuple, residue(df).collect())) == want
+    monkeypatch.setattr("quillwort.llm.residue.SENT", 0)
+    assert sorted(map(tuple, residue(df).collect())) == want
+
+
 LATIN = [
     "Aquiter velorum cantare plenitas amentum sednam versum hortica gravidus cantare cantare ripalem hortica fluvendo versum dolit porilis.",
     "# Beldowick / capture plan 82 terrisque nisquam amentum dolit amentum dolit hortica sednam hortica cantare cantare quorbis undavit.",
