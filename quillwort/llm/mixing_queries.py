@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillwort.functions.names import source_key
-from quillwort.llm.mixing import mix, mix_shares, source_sizes
-from quillwort.session import table
+from quillwort.llm.mixing import MixPlan, mix, mix_shares, plan_mixture
+from quillwort.session import durable, table
 
 
 def _boxes() -> Column:
@@ -28,20 +28,25 @@ def mix_inputs(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     return images, targets
 
 
+def _mixture(spark: SparkSession, d: str) -> MixPlan:
+    images, targets = mix_inputs(spark, d)
+    return plan_mixture(durable(images), targets, "image")
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
-    """Target sources too small to reach their share even when each image is used max_repeat times."""
-    return source_sizes(*mix_inputs(spark, d)).where("short").select("source")
+    """Target sources of which the mixture misses boxes, though each image is used max_repeat times."""
+    return _mixture(spark, d).table().where("missing > 0").select("source")
 
 
 def p2_mix(spark: SparkSession, d: str) -> DataFrame:
     """The mixture: images in shards, shuffled within each."""
-    return mix(*mix_inputs(spark, d), "image")
+    return mix(_mixture(spark, d), "image")
 
 
 def p2_shares(spark: SparkSession, d: str) -> DataFrame:
     """Target and actual share of boxes per source."""
-    images, targets = mix_inputs(spark, d)
-    return mix_shares(mix(images, targets, "image"), source_sizes(images, targets), "image")
+    plan = _mixture(spark, d)
+    return mix_shares(mix(plan, "image"), plan, "image")
 
 
 QUERIES = {"p2_found": p2_found, "p2_mix": p2_mix, "p2_shares": p2_shares}

@@ -96,34 +96,74 @@ def rare_prefix_pairs(held: DataFrame, train: DataFrame, column: str, threshold:
     )
 
 
+def _sides(records: DataFrame) -> DataFrame:
+    """(id, split, held, digest, hash) of the rows in a split, listed once each."""
+    rows = records.where("split is not null").select("id", "split", "digest", "hash").distinct()
+    return rows.withColumn("held", F.col("split") != "train")
+
+
+def members(records: DataFrame) -> DataFrame:
+    """(id, split, held, kind, value, digest, hash, rep): the classes a record of a split is in, those of its digest (exact) and of its hash (near).
+
+    A class holds the records of one side, held out or train, with the same value; rep is its
+    smallest id. Rows with neither digest nor hash are in no class.
+    """
+    kinds = F.array(
+        F.when(F.col("digest").isNotNull(), F.struct(F.lit("exact").alias("kind"), F.col("digest").alias("value"))),
+        F.when(F.col("hash").isNotNull(), F.struct(F.lit("near").alias("kind"), F.col("hash").cast("string").alias("value"))),
+    )
+    rows = durable(_sides(records).select("*", F.explode(F.array_compact(kinds)).alias("c")).select("id", "split", "held", "c.kind", "c.value", "digest", "hash"))
+    reps = rows.groupBy("held", "kind", "value").agg(F.min("id").alias("rep"))
+    return rows.join(reps.hint("merge"), ["held", "kind", "value"])
+
+
+def cross_split_links(classes: DataFrame, threshold: int = 8) -> DataFrame:
+    """(kind, train_rep, held_rep, distance): links between classes (``members``) of the two sides.
+
+    kind is `exact` for the classes of one digest, at most one link for a digest, and `near` for those
+    of hashes within the threshold, one link for each pair of distinct hashes; distance is null for
+    exact links. All members of linked classes are twins, so no pair of records need be written.
+    """
+    reps = durable(classes.where("id = rep").select("held", "kind", "value", "hash", "rep").distinct())
+    train = reps.where("not held").select("kind", "value", F.col("hash").alias("train"), F.col("rep").alias("train_rep"))
+    held = reps.where("held").select("kind", "value", F.col("hash").alias("held"), F.col("rep").alias("held_rep"))
+    exact = train.where("kind = 'exact'").hint("merge").join(held.drop("kind"), "value").select(F.lit("exact").alias("kind"), "train_rep", "held_rep", F.lit(None).cast("int").alias("distance"))
+    train, held = (x.where("kind = 'near'").drop("kind", "value") for x in (train, held))
+    pairs = rare_prefix_pairs(held.select(F.col("held").alias("hash")), train.select(F.col("train").alias("hash")), "hash", threshold)
+    near = pairs.join(train.hint("merge"), "train").join(held.hint("merge"), "held").select(F.lit("near").alias("kind"), "train_rep", "held_rep", "distance")
+    return exact.unionByName(near)
+
+
 def cross_split_pairs(records: DataFrame, threshold: int = 8) -> DataFrame:
     """(train_id, held_id, kind, distance): pairs over the border between train and the held-out splits.
 
     ``records`` has (id, split, digest, hash). kind is `exact` for the same digest, else `near` for
     hashes within the threshold; distance is null where hashes cannot be compared. Rows in neither
     train, val nor test, and rows with neither digest nor hash, are in no pair; rows listed twice
-    count once. Distinct hashes are compared, and records join their hash's matches afterwards.
+    count once. Every pair is written, so copies multiply; ``cross_split_links`` and ``members`` say the same without.
     """
-    rows = durable(records.where("split is not null").select("id", "split", "digest", "hash").distinct())
-    train = rows.where("split = 'train'").select(F.col("id").alias("train_id"), F.col("digest").alias("td"), F.col("hash").alias("train"))
-    held = rows.where("split <> 'train'").select(F.col("id").alias("held_id"), F.col("digest").alias("hd"), F.col("hash").alias("held"))
-    apart = hamming(F.col("train"), F.col("held"))
-    exact = train.join(held, F.col("td") == F.col("hd")).select("train_id", "held_id", F.lit("exact").alias("kind"), apart.alias("distance"))
-    pairs = rare_prefix_pairs(held.select(F.col("held").alias("hash")), train.select(F.col("train").alias("hash")), "hash", threshold)
-    near = (
-        pairs.join(train, "train").join(held, "held")
-        .where(~F.col("td").eqNullSafe(F.col("hd")) | F.col("td").isNull())
-        .select("train_id", "held_id", F.lit("near").alias("kind"), "distance")
+    classes = durable(members(records))
+    links = cross_split_links(classes, threshold).drop("distance")
+    train = classes.where("not held").select("kind", F.col("rep").alias("train_rep"), F.col("id").alias("train_id"), F.col("digest").alias("td"), F.col("hash").alias("th"))
+    held = classes.where("held").select("kind", F.col("rep").alias("held_rep"), F.col("id").alias("held_id"), F.col("digest").alias("hd"), F.col("hash").alias("hh"))
+    return (
+        links.join(train.hint("merge"), ["kind", "train_rep"]).join(held.hint("merge"), ["kind", "held_rep"])
+        .where((F.col("kind") == "exact") | ~F.coalesce(F.col("td") == F.col("hd"), F.lit(False)))
+        .select("train_id", "held_id", "kind", hamming(F.col("th"), F.col("hh")).alias("distance"))
     )
-    return exact.unionByName(near)
 
 
-def overlap_report(records: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Per held-out split and source: records, and those with an exact, and with only a near, twin in train."""
-    best = pairs.groupBy(F.col("held_id").alias("id")).agg(F.min("kind").alias("kind"))
+def overlap_report(records: DataFrame, threshold: int = 8) -> DataFrame:
+    """Per held-out split and source: records, and those with an exact, and with only a near, twin in train.
+
+    A held-out record has such a twin if its class is linked, so the report is made of classes, not of pairs.
+    """
+    classes = durable(members(records))
+    linked = cross_split_links(classes, threshold).select("kind", F.col("held_rep").alias("rep")).distinct()
+    best = classes.where("held").join(linked.hint("merge"), ["kind", "rep"]).groupBy("id").agg(F.min("kind").alias("kind"))
     held = records.where("split in ('val', 'test')").select("id", "split", "source").distinct()
     return (
-        held.join(best, "id", "left")
+        held.join(best.hint("merge"), "id", "left")
         .groupBy("split", "source")
         .agg(F.count("*").alias("n_records"), F.count_if(F.col("kind") == "exact").alias("n_exact"), F.count_if(F.col("kind") == "near").alias("n_near"))
     )

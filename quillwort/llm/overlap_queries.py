@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillwort.functions.names import computed_hash, digest_key, source_key, split_key
-from quillwort.llm.overlap import cross_split_pairs, overlap_report
+from quillwort.llm.overlap import cross_split_links, cross_split_pairs, members, overlap_report
 from quillwort.session import table
 
 
@@ -25,8 +25,17 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p6_report(spark: SparkSession, d: str) -> DataFrame:
     """Held-out records with a twin in train, per split and source."""
-    records = audited(spark, d)
-    return overlap_report(records, cross_split_pairs(records))
+    return overlap_report(audited(spark, d))
 
 
-QUERIES = {"p6_found": p6_found, "p6_report": p6_report}
+def p6_links(spark: SparkSession, d: str) -> DataFrame:
+    """Links between representatives of the classes of equal digests, and of equal hashes, on the two sides."""
+    return cross_split_links(members(audited(spark, d)))
+
+
+def p6_members(spark: SparkSession, d: str) -> DataFrame:
+    """The classes of each record of a split, by their representatives."""
+    return members(audited(spark, d)).select("id", "kind", "rep")
+
+
+QUERIES = {"p6_found": p6_found, "p6_report": p6_report, "p6_links": p6_links, "p6_members": p6_members}

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from quillwort.llm.incremental import AcceptedIndex, dedupe_batches
 from quillwort.llm.incremental_queries import match_category
 from quillwort.llm.minwise import Minwise
-from quillwort.llm.overlap import RarePrefix, cross_split_pairs, overlap_report, rare_prefix_pairs
+from quillwort.llm.overlap import RarePrefix, cross_split_links, cross_split_pairs, members, overlap_report, rare_prefix_pairs
 
 
 def signed(x):
@@ -145,9 +145,20 @@ def test_overlap_pairs(spark, seed):
     df = spark.createDataFrame([(*r, "k", "src") for r in [*rows, rows[3]]], "id long, split string, digest string, hash long, key string, source string")
     pairs = cross_split_pairs(df)
     assert sorted((r["train_id"], r["held_id"], r["kind"]) for r in pairs.collect()) == sorted(want)
-    report = overlap_report(df, pairs).collect()
+    report = overlap_report(df).collect()
     assert sum(r["n_exact"] for r in report) == len({j for _, j, k in want if k == "exact"})
-    assert cross_split_pairs(df.limit(0)).count() == 0
+    assert sum(r["n_near"] for r in report) == len({j for _, j, k in want if k == "near"} - {j for _, j, k in want if k == "exact"})
+    assert cross_split_pairs(df.limit(0)).count() == overlap_report(df.limit(0)).count() == 0
+
+
+def test_copies_do_not_multiply(spark):
+    rows = [(i, "train" if i % 2 else "val", "same" if i < 300 else f"d{i}", 77 if i < 400 else 78 if i == 400 else None, "s") for i in range(450)]
+    df = spark.createDataFrame(rows, "id long, split string, digest string, hash long, source string")
+    classes = members(df).cache()
+    links = sorted((r["kind"], r["train_rep"], r["held_rep"], r["distance"]) for r in cross_split_links(classes).collect())
+    assert links == [("exact", 1, 0, None), ("near", 1, 0, 0), ("near", 1, 400, 2)]
+    assert classes.count() == 450 + 401
+    assert [tuple(r) for r in overlap_report(df).collect()] == [("val", "s", 225, 150, 51)]
 
 
 def test_hot_bands_are_left_out(spark):
