@@ -9,9 +9,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillwort.session import parallelism, pinned
+from quillwort.session import discard, durable, parallelism, pinned
 
 _NEVER = np.iinfo(np.int64).max
+#: Rows of parents and references for each range, and characters that the keys of one array of fixed width may have.
+RANGE_ROWS, _WIDE = 2_000_000, 1 << 26
 
 
 def _edges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -34,13 +36,19 @@ def _edges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"part": [part], "first": [first], "last": [last], "net": [net], "single": [first == last]})
 
 
+def _sortable(keys: np.ndarray) -> np.ndarray:
+    """Keys as an array of fixed width where that is small and exact; else as objects, which compare more slowly."""
+    width = max(map(len, keys), default=0)
+    if width * len(keys) > _WIDE or any("\0" in k for k in keys):
+        return keys
+    return keys.astype(f"U{max(1, width)}")
+
+
 class _Range:
-    """The parents of one range as sorted arrays, searched by bisection."""
+    """The parents of one range as sorted arrays of keys and of the times their stays begin and end, searched by bisection."""
 
     def __init__(self, parents: pd.DataFrame, first: str | None, carried: int):
-        keys = parents["key"].to_numpy(dtype=object)
-        self.keys = pd.Index(pd.unique(keys))
-        codes = self.keys.get_indexer(keys).astype(np.int64)
+        self.keys, codes = np.unique(_sortable(parents["key"].to_numpy(dtype=object)), return_inverse=True)
         times = parents["at"].to_numpy(dtype=np.int64)
         self.times = np.unique(times)
         self.base = len(self.times) + 1
@@ -52,14 +60,21 @@ class _Range:
 
     def open_at(self, keys: np.ndarray, times: np.ndarray) -> np.ndarray:
         """How many stays of each key are open at each time."""
-        codes = self.keys.get_indexer(keys).astype(np.int64)
+        carried = np.where(keys == self.first, self.carried, 0)
+        if not len(self.keys):
+            return carried
+        asked = _sortable(keys)
+        held = self.keys if asked.dtype != object else self.keys.astype(object)
+        codes = np.searchsorted(held, asked if held.dtype != object else keys)
+        known = codes < len(held)
+        known[known] = held[codes[known]] == asked[known]
         low = codes * self.base
         at = low + np.searchsorted(self.times, times, side="right")
         n = sum(
             sign * (np.searchsorted(side, at, side="right") - np.searchsorted(side, low, side="left"))
             for sign, side in ((1, self.begun), (-1, self.ended))
         )
-        return np.where(codes < 0, 0, n) + np.where(keys == self.first, self.carried, 0)
+        return np.where(known, n, 0) + carried
 
 
 def _probe(carry: dict[int, tuple[str, int]]):
@@ -93,8 +108,8 @@ def orphan_references(references: DataFrame, parents: DataFrame, ranges: int | N
 
     Keys are range-partitioned together with time, so a key that holds a third of all rows spreads
     over many ranges; what stays open of a key from one range into the next is carried by one small
-    row per range. Within a range the parents are sorted arrays, and references are probed in
-    batches by binary search.
+    row per range. There is a range for each ``RANGE_ROWS`` rows. Within a range the parents are sorted
+    arrays, and references are probed in batches by binary search.
 
     Defined results: null keys are no references. A reference with a null time is an orphan, as
     nothing exists at no time. A parent with a null key or ``since``, or one that ends before it
@@ -102,7 +117,6 @@ def orphan_references(references: DataFrame, parents: DataFrame, ranges: int | N
     references come out as often as they went in. Without parents all references are orphans.
     """
     spark = references.sparkSession
-    n = ranges or max(2, parallelism(spark))
     micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
     tagged = lambda: F.concat_ws("\x1f", "field", "key")
     stays = parents.where("key is not null and since is not null and (until is null or until > since)")
@@ -116,13 +130,15 @@ def orphan_references(references: DataFrame, parents: DataFrame, ranges: int | N
         tagged().alias("key"), micros("at").alias("at"), F.xxhash64("row").bitwiseAND(F.lit(_NEVER)).alias("salt"),
         F.lit(0).alias("step"), "row", "field",
     )
+    rows = durable(events.unionByName(known))  # the ranges are found in one pass over the keys as written, not by deriving them twice
+    n = ranges or max(2, parallelism(spark), -(-rows.count() // RANGE_ROWS))
     ranged = (
-        events.unionByName(known)
-        .repartitionByRange(n, "key", "at", "salt")
+        rows.repartitionByRange(n, "key", "at", "salt")
         .withColumn("part", F.spark_partition_id())
         .sortWithinPartitions(F.abs("step").desc())
     )
     ranged = pinned(ranged)
+    discard(rows)
     edges = sorted(
         ranged.select("part", "key", "step").mapInPandas(_edges, "part int, first string, last string, net long, single boolean").collect()
     )

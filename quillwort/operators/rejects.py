@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import io
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.csv as pcsv
@@ -53,84 +53,71 @@ def _hash_fits(values: pa.Array) -> pa.Array:
     return pc.or_(pc.less(n, 20), pc.and_(pc.equal(n, 20), pc.less_equal(digits, _TOP_HASH)))
 
 
+#: What stands for characters that end a line for the reader though they are part of one: a mark and a letter.
+_MARK = "\ue000"
+_MARKED = ((_MARK, "a"), ("\r", "b"), ("\n", "c"), ("\0", "d"))
+
+
+def _hide(text: pa.Array) -> pa.Array:
+    for char, letter in _MARKED:
+        text = pc.replace_substring(text, char, _MARK + letter)
+    return text
+
+
+def _show(text: pa.Array) -> pa.Array:
+    for char, letter in reversed(_MARKED):
+        text = pc.replace_substring(text, _MARK + letter, char)
+    return text
+
+
 def parse_lines(lines: pa.Array) -> tuple[pa.Array, pa.Table]:
     """Reasons (null: valid) and the fields as strings, both aligned with ``lines``.
 
     Structure is left to the CSV reader, whose callback receives rows with a wrong number of
-    fields; lines it would read more freely than allowed are held back before it. Then each field,
-    read as a string, is checked as a vector, and the first failing field names the reason.
+    fields; lines it would read more freely than allowed are held back before it, and line breaks and
+    null bytes within a line are hidden from it. Then each field, read as a string, is checked as a
+    vector, and the first failing field names the reason.
     """
     n = len(lines)
-    reasons: list[str | None] = [None] * n
     text = pc.replace_substring_regex(lines, r"\r\z", "")
     quoted = pc.fill_null(pc.match_substring_regex(text, _WELL_QUOTED), False)
-    broken = pc.fill_null(pc.match_substring_regex(text, r"[\r\n\x00]"), False)
-    readable = []
-    for i, (ok, split) in enumerate(zip(quoted.to_pylist(), broken.to_pylist(), strict=True)):
-        if not ok:
-            reasons[i] = "broken_quoting"
-        elif not split:
-            readable.append(i)
-    columns: list[list[str | None]] = [[None] * n for _ in FIELDS]
-    raw = text.to_pylist()
-    for i, split in enumerate(broken.to_pylist()):
-        if split and reasons[i] is None:  # a line break or null byte within one line: fields cut by the quoting rule itself
-            fields = _cut(raw[i])
-            if len(fields) != len(FIELDS):
-                reasons[i] = "wrong_field_count"
-            else:
-                for c, v in zip(columns, fields, strict=True):
-                    c[i] = v
-    if readable:
+    hidden = pc.any(pc.match_substring_regex(text, f"[\r\n\x00{_MARK}]")).as_py()
+    reasons = np.where(quoted.to_numpy(zero_copy_only=False), 0, 1)
+    readable = pc.indices_nonzero(quoted)
+    places = np.full(n, -1)
+    columns = [pa.nulls(n, pa.string())] * len(FIELDS)
+    if len(readable):
         # each line carries its number as a first field, so rejected and read rows are told apart by it
-        data = "".join(f"{i},{raw[i]}\n" for i in readable).encode()
-        names = ["_n", *FIELDS]
+        numbered = pc.binary_join_element_wise(readable.cast(pa.string()), (_hide(text) if hidden else text).take(readable), ",")
+        data = pc.binary_join(pa.ListArray.from_arrays([0, len(numbered)], numbered), "\n")[0].as_buffer()
+        names, bad = ["_n", *FIELDS], []
 
         def rejected(row: pcsv.InvalidRow) -> str:
-            reasons[int(row.text.split(",", 1)[0])] = "wrong_field_count"
+            bad.append(row.text.split(",", 1)[0])
             return "skip"
 
         read = pcsv.read_csv(
-            io.BytesIO(data),
-            read_options=pcsv.ReadOptions(column_names=names, use_threads=False, block_size=max(1 << 20, len(data) + 1)),
+            pa.BufferReader(data),
+            read_options=pcsv.ReadOptions(column_names=names, use_threads=False, block_size=max(1 << 20, data.size + 1)),
             parse_options=pcsv.ParseOptions(invalid_row_handler=rejected, newlines_in_values=False, ignore_empty_lines=False),
             convert_options=pcsv.ConvertOptions(column_types={c: pa.string() for c in names}, strings_can_be_null=False, check_utf8=False),
-        )
-        places = list(map(int, read["_n"].to_pylist()))
-        for c, name in zip(columns, FIELDS, strict=True):
-            for i, v in zip(places, read[name].to_pylist(), strict=True):
-                c[i] = v
-    table = pa.table({f: pa.array(c, pa.string()) for f, c in zip(FIELDS, columns, strict=True)})
-    for field in FIELDS:
-        values = table[field].combine_chunks()
+        ).combine_chunks()
+        reasons[np.array(bad, dtype=np.int64)] = 2
+        if read.num_rows:
+            places[read["_n"].cast(pa.int64()).to_numpy()] = np.arange(read.num_rows)
+            spots = pa.array(places, mask=places < 0)
+            columns = [c.combine_chunks().take(spots) for c in read.columns[1:]]
+            columns = [_show(c) for c in columns] if hidden else columns
+    for number, (field, values) in enumerate(zip(FIELDS, columns, strict=True)):
         good = _whole(values, RULES[field])
         if field == "phash":
             good = pc.and_(good, _hash_fits(values))
         if field == "label_path":
             good = pc.and_(good, pc.invert(pc.match_substring_regex(values, r"\A[A-Za-z]:")))
-        for i in pc.indices_nonzero(pc.fill_null(pc.invert(good), False)).to_pylist():
-            if reasons[i] is None:
-                reasons[i] = f"invalid_{field}"
-    return pa.array(reasons, pa.string()), table
-
-
-def _cut(line: str) -> list[str]:
-    out, at = [], 0
-    while True:
-        if line.startswith('"', at):
-            end = at + 1
-            while line[end] != '"' or line.startswith('""', end):
-                end += 2 if line[end] == '"' else 1
-            out.append(line[at + 1 : end].replace('""', '"'))
-            at = end + 1
-        else:
-            end = line.find(",", at)
-            end = len(line) if end < 0 else end
-            out.append(line[at:end])
-            at = end
-        if at >= len(line):
-            return out
-        at += 1
+        failed = pc.fill_null(pc.invert(good), False).to_numpy(zero_copy_only=False)
+        reasons[failed & (reasons == 0)] = 3 + number
+    named = pa.array([None, "broken_quoting", "wrong_field_count", *(f"invalid_{f}" for f in FIELDS)])
+    return named.take(pa.array(reasons)), pa.table(dict(zip(FIELDS, columns, strict=True)))
 
 
 def load_lines(lines: DataFrame, id_column: str = "line_id", line_no: str = "line_no", raw: str = "raw") -> DataFrame:

@@ -42,6 +42,18 @@ def test_batch_keeps_places():
     assert table["relative_path"].to_pylist()[3] == "a, b.jpg" and table["relative_path"].to_pylist()[4] == 'a "x".jpg'
 
 
+def test_line_breaks_within_a_line_go_through_the_reader():
+    import pyarrow as pa
+
+    odd = ["a\rb", "a\nb", "a\0b", "\ue000a\r\n", "\ue000", "a\r\r\nb"]
+    lines = [with_field(0, f'"{v},"') for v in odd] + [with_field(0, v) for v in odd] + ["a\nb,c", "\n", with_field(2, "tr\nain"), with_field(1, "a\n.txt"), GOOD, None]
+    reasons, table = parse_lines(pa.array(lines))
+    assert reasons.to_pylist() == [None] * 12 + ["wrong_field_count"] * 2 + ["invalid_official_split", None, None, "broken_quoting"]
+    assert table["relative_path"].to_pylist()[:12] == [f"{v}," for v in odd] + odd
+    for none in ([], ['"'], ["a"]):
+        assert parse_lines(pa.array(none, pa.string()))[1].num_rows == len(none)
+
+
 def test_load(spark):
     rows = [(1, 1, "relative_path,label_path"), (2, 2, GOOD), (2, 2, GOOD), (3, 3, ""), (4, 4, "  \r"), (5, 5, None), (6, None, "x"), (7, 7, "y" * 100_000), (8, 8, GOOD.replace("a/b.jpg", "ü" * 50_000))]
     df = spark.createDataFrame([(*r, "k", 1) for r in rows], "line_id long, line_no int, raw string, reason string, width int")
