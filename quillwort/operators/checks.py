@@ -25,6 +25,27 @@ def check_value(name: str, actual: DataFrame, column: str, expected: float, tole
     )
 
 
+def check_at_most(name: str, actual: DataFrame, column: str, limit: float, slack: float = 1e-12) -> DataFrame:
+    """(check, status, n_bad, detail) of a one-row table's value that must not exceed the limit; a null value fails."""
+    good = F.coalesce(F.col(column) <= limit + slack, F.lit(False))
+    return actual.select(
+        F.lit(name).alias("check"), F.when(good, "PASS").otherwise("FAIL").alias("status"), F.when(good, 0).otherwise(1).cast("long").alias("n_bad"),
+        F.substring(F.concat(F.lit("got "), F.coalesce(F.round(column, 6).cast("string"), F.lit("nothing"))), 1, 400).alias("detail"),
+    )
+
+
+def stop_at_first(checks: DataFrame, order: list[str]) -> DataFrame:
+    """The checks with ``place`` in the given order; those after the first that fails are SKIPPED, with nothing counted."""
+    place = F.array_position(F.array(*map(F.lit, order)), F.col("check")).cast("int")
+    placed = checks.withColumn("place", place)
+    first = placed.where("status = 'FAIL'").agg(F.min("place").alias("_first"))
+    skipped = F.coalesce(F.col("place") > F.col("_first"), F.lit(False))
+    return placed.join(F.broadcast(first)).select(  # one row
+        "place", "check", F.when(skipped, "SKIPPED").otherwise(F.col("status")).alias("status"), F.when(skipped, 0).otherwise(F.col("n_bad")).cast("long").alias("n_bad"),
+        F.when(skipped, "").otherwise(F.col("detail")).alias("detail"),
+    )
+
+
 def all_checks(*checks: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, checks)
 

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SEED = 42
+#: Rows that a top-k may hold.
+FEW = 100_000
 
 
 def rank_key(key: str | Column, seed: int = SEED) -> Column:
@@ -14,29 +16,100 @@ def rank_key(key: str | Column, seed: int = SEED) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), c.cast("string")))
 
 
+def number_key(c: Column) -> Column:
+    """A long as 16 hex digits that sort as the numbers do."""
+    return F.lpad(F.hex(c.cast("long").bitwiseXOR(F.lit(-(1 << 63)))), 16, "0")
+
+
+def lowest(df: DataFrame, at: Column, k: int) -> DataFrame:
+    """The k rows (all if there are fewer) with the lowest keys ``at``, hex text of one length; nulls are lowest.
+
+    Few rows are a top-k. For many the cut is found by counting: the rows of each of 4096 beginnings,
+    then of the beginnings within the one in which the cut lies, until few rows are left; so no
+    task holds k rows. Rows with the key at the cut are equal; any of them are taken.
+    """
+    if k <= FEW:
+        return df.orderBy(at).limit(max(0, k))
+    keyed = df.withColumn("_at", F.coalesce(at, F.lit("")))
+    inside, before, width = keyed.select("_at"), 0, 0
+    while True:
+        width += 3
+        counts = inside.groupBy(F.substring("_at", 1, width).alias("b")).agg(F.count("*").alias("n"), F.max(F.length("_at")).alias("l")).collect()
+        for b, n, longest in sorted(counts):
+            if before + n >= k:
+                break
+            before += n
+        else:
+            return df
+        if before + n == k:
+            return keyed.where(F.substring("_at", 1, width) <= b).drop("_at")
+        if n <= FEW or width >= longest:
+            break
+        inside = inside.where(F.substring("_at", 1, width) == b)
+    cell = keyed.where(F.substring("_at", 1, width) == b)
+    first = cell.orderBy("_at").limit(k - before) if n <= FEW else cell.limit(k - before)
+    return keyed.where(F.substring("_at", 1, width) < b).unionByName(first).drop("_at")
+
+
+def ranked(df: DataFrame, by: list[str], cell: Column, order: list[Column]) -> DataFrame:
+    """Adds _rank, the place of a row in its group from 1, without a group in one task.
+
+    ``cell`` must not decrease in ``order`` and cuts groups into parts that are sorted for
+    themselves; a part begins where the counts of the parts before it end. Null groups are groups.
+    """
+    celled = df.withColumn("_cell", cell)
+    sums = Window.partitionBy(*by).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)  # a row per part
+    begins = celled.groupBy(*by, "_cell").agg(F.count("*").alias("_n")).select(
+        *[F.col(c).alias(f"_by{i}") for i, c in enumerate(by)], F.col("_cell").alias("_own"), F.coalesce(F.sum("_n").over(sums), F.lit(0)).alias("_before")
+    )
+    same = F.col("_cell").eqNullSafe(F.col("_own"))
+    for i, c in enumerate(by):
+        same &= F.col(c).eqNullSafe(F.col(f"_by{i}"))
+    place = F.row_number().over(Window.partitionBy(*by, "_cell").orderBy(*order))
+    out = celled.withColumn("_place", place).join(begins, same).withColumn("_rank", F.col("_place") + F.col("_before"))
+    return out.select(*df.columns, "_rank")
+
+
+def number_cell(df: DataFrame, order: str) -> Column:
+    """Which of 4096 equal parts of its range a number lies in; a single part for other types."""
+    if df.schema[order].dataType.typeName() not in ("integer", "long", "short", "byte"):
+        return F.lit(0)
+    low, high = df.agg(F.min(order), F.max(order)).first()
+    if low is None:
+        return F.lit(0)
+    return F.floor((F.coalesce(F.col(order), F.lit(low)) - F.lit(low)) / F.lit((high - low) / 4096 + 1e-9)).cast("int")
+
+
 def sample_rows(df: DataFrame, k: int, key: str, seed: int = SEED) -> DataFrame:
-    """k rows without replacement (all if there are fewer). Each task keeps at most k rows."""
-    return df.orderBy(rank_key(key, seed), key).limit(max(0, k))
+    """k rows without replacement (all if there are fewer), by rank."""
+    return lowest(df, rank_key(key, seed), k)
 
 
 def sample_per_group(df: DataFrame, by: list[str], k: int | Column, key: str, seed: int = SEED) -> DataFrame:
-    """Up to k rows of each group. With a number k, each task passes on at most k rows per group."""
-    w = Window.partitionBy(*by).orderBy(rank_key(key, seed), key)
-    return df.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= k).drop("_rank")
+    """Up to k rows of each group. With a number k, each task passes on at most k rows per group; with a column the ranks are taken in parts."""
+    at = rank_key(key, seed)
+    if isinstance(k, int):
+        w = Window.partitionBy(*by).orderBy(at, key)
+        return df.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= k).drop("_rank")
+    return ranked(df, by, F.substring(at, 1, 3), [at, F.col(key)]).where(F.col("_rank") <= k).drop("_rank")
+
+
+def first_rows(df: DataFrame, by: list[str], order: str, k: int) -> DataFrame:
+    """The first k rows of each group in order; each task passes on at most k rows per group."""
+    return df.withColumn("_rank", F.row_number().over(Window.partitionBy(*by).orderBy(order))).where(F.col("_rank") <= k).drop("_rank")
 
 
 def strided_sample(df: DataFrame, by: list[str], order: str, n: int) -> DataFrame:
     """Every s-th row of each group in order, s being its size / n rounded down, at least 1."""
     sizes = df.groupBy(*by).agg(F.count("*").alias("_n"))
-    w = Window.partitionBy(*by).orderBy(order)
     step = F.greatest(F.lit(1), F.floor(F.col("_n") / n))
-    return df.join(sizes, by).withColumn("_i", F.row_number().over(w) - 1).where(F.col("_i") % step == 0).drop("_i", "_n")
+    placed = ranked(df, by, number_cell(df, order), [F.col(order)])
+    return placed.join(sizes, by).where((F.col("_rank") - 1) % step == 0).drop("_rank", "_n")
 
 
 def even_picks(df: DataFrame, by: list[str], order: str, n: int = 5) -> DataFrame:
-    """The first n rows of each group's strided sample."""
-    w = Window.partitionBy(*by).orderBy(order)
-    return strided_sample(df, by, order, n).withColumn("_i", F.row_number().over(w)).where(F.col("_i") <= n).drop("_i")
+    """The first n rows of each group's strided sample, which has less than 2 n + 1 rows."""
+    return first_rows(strided_sample(df, by, order, n), by, order, n)
 
 
 def cap_share(df: DataFrame, pool: Column, droppable: Column, key: str, cap: float = 0.35, seed: int = SEED) -> tuple[DataFrame, dict]:
@@ -56,14 +129,31 @@ def cap_share(df: DataFrame, pool: Column, droppable: Column, key: str, cap: flo
     return df.join(gone, key, "left_anti"), counts
 
 
+def cap_replay(df: DataFrame, by: str, size: str, item: str, pool: Column, droppable: Column, key: str, cap: float = 0.35) -> DataFrame:
+    """Per group how its total comes about: (by, raw, doubled, capped, final, status).
+
+    raw is the sum over all rows, doubled what rows with the name of an earlier one add, capped what
+    ``cap_share`` drops of the rest, final what is left, counted from the rows themselves. PASS if raw - doubled - capped = final.
+    """
+    first = df.groupBy(item).agg(F.min(key).alias(key))
+    once = df.join(first, [item, key], "left_semi")
+    kept, _ = cap_share(once, pool, droppable, key, cap)
+    total = lambda rows, name: rows.groupBy(by).agg(F.sum(size).cast("long").alias(name))
+    gone = once.join(kept.select(key), key, "left_anti")
+    zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
+    joined = total(df, "raw").join(total(once, "_once"), by, "left").join(total(gone, "capped"), by, "left").join(total(kept, "final"), by, "left")
+    out = joined.select(by, "raw", (F.col("raw") - F.coalesce("_once", F.lit(0))).alias("doubled"), zero("capped"), zero("final"))
+    return out.withColumn("status", F.when(F.expr("raw - doubled - capped = final"), "PASS").otherwise("FAIL"))
+
+
 def background_budget(df: DataFrame, empty: Column, first: Column, order: str, share: float = 0.10) -> DataFrame:
-    """Empty rows to be used as background: int(share * non-empty rows), the first half from ``first``, the rest from others."""
+    """Empty rows to be used as background: int(share * non-empty rows), the first half from ``first``, the rest from others, by ``order``, a number."""
     blank, preferred = F.coalesce(empty, F.lit(False)), F.coalesce(first, F.lit(False))
     n, a = df.agg(F.count_if(~blank), F.count_if(blank & preferred)).first()
     budget = int(share * n)
     take = min(a, budget // 2)
-    mine = df.where(blank & preferred).orderBy(order).limit(take)
-    return mine.unionByName(df.where(blank & ~preferred).orderBy(order).limit(budget - take))
+    at = number_key(F.col(order))
+    return lowest(df.where(blank & preferred), at, take).unionByName(lowest(df.where(blank & ~preferred), at, budget - take))
 
 
 def repeat_factor(frequency: Column, t: Column, top: float = 6.0) -> Column:
@@ -130,7 +220,17 @@ def stratified_sample(df: DataFrame, special: Column, by: str, key: str, n: int,
 
 
 def floors_then_rest(df: DataFrame, by: str, key: str, floor: int, total: int, seed: int = SEED) -> DataFrame:
-    """At least ``floor`` rows of each group (as far as it has them), then others by rank up to ``total`` rows."""
-    w = Window.partitionBy(by).orderBy(rank_key(key, seed), key)
-    ranked = df.withColumn("_rank", F.row_number().over(w))
-    return ranked.orderBy((F.col("_rank") > floor).cast("int"), rank_key(key, seed), key).limit(total).drop("_rank")
+    """At least ``floor`` rows of each group (as far as it has them), then others by rank, ``total`` rows in all, with ``place``: their shuffled order from 1.
+
+    Neither groups nor the table are sorted whole: each task passes on its first rows by rank.
+    """
+    at = rank_key(key, seed)
+    must = sample_per_group(df, [by], floor, key, seed).withColumn("_late", F.lit(0))
+    others = df.join(must.select(key), key, "left_anti").orderBy(at, key).limit(total).withColumn("_late", F.lit(1))
+    chosen = must.unionByName(others).orderBy("_late", at, key).limit(total).drop("_late")
+    return chosen.withColumn("place", F.row_number().over(Window.orderBy(rank_key(key, seed + 1), key)))  # total rows
+
+
+def halves(sample: DataFrame, n: int) -> DataFrame:
+    """The first n rows of a shuffled sample as train, the others as val."""
+    return sample.withColumn("split", F.when(F.col("place") <= n, "train").otherwise("val"))

@@ -99,7 +99,7 @@ def o13_stratified(spark: SparkSession, d: str) -> DataFrame:
 
 def o14_floors(spark: SparkSession, d: str) -> DataFrame:
     orders = table(spark, d, "orders").select("o_orderkey", "o_orderpriority")
-    return sampling.floors_then_rest(orders, "o_orderpriority", "o_orderkey", 10, 200)
+    return sampling.halves(sampling.floors_then_rest(orders, "o_orderpriority", "o_orderkey", 10, 200), 100)
 
 
 def o15_proposed(spark: SparkSession, d: str) -> DataFrame:
@@ -134,7 +134,8 @@ def w2_rank_groups(spark: SparkSession, d: str) -> DataFrame:
 
 
 def w5_first_k(spark: SparkSession, d: str) -> DataFrame:
-    return sampling.even_picks(manifest(spark, d).where("source is not null").select("source", "row_id"), ["source"], "row_id", 20)
+    """The first 20 rows of each source."""
+    return sampling.first_rows(manifest(spark, d).where("source is not null").select("source", "row_id"), ["source"], "row_id", 20)
 
 
 def w7_even_picks(spark: SparkSession, d: str) -> DataFrame:
@@ -246,8 +247,10 @@ SQL = {
         x as (select row_id, source, s, row_number() over (partition by s order by {_RANK.format(k='row_id')}, row_id) as i,
           row_number() over (partition by s, source order by {_RANK.format(k='row_id')}, row_id) as j from t)
         select row_id, source from x left join quota using (source) where (s and i <= (select k from h)) or (not s and j <= quota)""",
-    "o14_floors": f"""with r as (select *, row_number() over (partition by o_orderpriority order by {_RANK.format(k='o_orderkey')}, o_orderkey) as i from orders)
-        select o_orderkey, o_orderpriority from r order by (i > 10)::int, {_RANK.format(k='o_orderkey')}, o_orderkey limit 200""",
+    "o14_floors": f"""with r as (select *, row_number() over (partition by o_orderpriority order by {_RANK.format(k='o_orderkey')}, o_orderkey) as i from orders),
+        x as (select o_orderkey, o_orderpriority from r order by (i > 10)::int, {_RANK.format(k='o_orderkey')}, o_orderkey limit 200),
+        p as (select *, row_number() over (order by md5('43:' || o_orderkey), o_orderkey)::int as place from x)
+        select *, case when place <= 100 then 'train' else 'val' end as split from p""",
     "o15_proposed": f"with recursive {MANIFEST}, {_GROUPS}, {_SPLIT_TURN} select i.unit, i.group_key, i.n, t.split from turn t join i on i.unit = t.unit and i.i = t.i - 1 where t.split <> ''",
     "o16_top_pairs": """select a.vec_id, b.vec_id as neighbour, round(list_cosine_similarity(a.embedding::double[], b.embedding::double[]), 4) as cosine
         from embeddings a join embeddings b on a.vec_id <> b.vec_id where a.vec_id % 50 = 0 and round(list_cosine_similarity(a.embedding::double[], b.embedding::double[]), 4) >= 0.3
@@ -257,7 +260,7 @@ SQL = {
         select source, group_key from r where i <= q""",
     "pr12_strided": f"with {MANIFEST}, {_STRIDE} select source, row_id from k where i % greatest(1, n // 300) = 0",
     "w2_rank_groups": f"with {MANIFEST}, {_GROUPS} select unit, group_key, n, i::int as place from i where i <= 10",
-    "w5_first_k": f"with {MANIFEST}, {_STRIDE} select source, row_id from k where i % greatest(1, n // 20) = 0 and i // greatest(1, n // 20) < 20",
+    "w5_first_k": f"with {MANIFEST}, {_STRIDE} select source, row_id from k where i < 20",
     "w7_even_picks": f"with {MANIFEST}, {_STRIDE} select source, row_id from k where i % greatest(1, n // 5) = 0 and i // greatest(1, n // 5) < 5",
     "w8_peaks": """with k as (select event_type, ts::date as day, round(avg(value), 6) as mean from events group by 1, 2)
         select event_type, arg_max(day, (mean, day)) as best_day, max(mean) as best_mean, arg_max(mean, day) as last_mean from k group by 1""",

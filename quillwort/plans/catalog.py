@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillwort.plans import assignment, data_quality, lookups, scalars, similarity, statistics, streams, validation
+from quillwort.plans import assignment, data_quality, files, lookups, scalars, similarity, statistics, streams, validation
 
-MODULES = (statistics, assignment, lookups, scalars, similarity, validation, streams, data_quality)
+MODULES = (statistics, assignment, lookups, scalars, similarity, validation, streams, data_quality, files)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -103,7 +103,17 @@ checked as (
     and regexp_full_match(f[12], '{RULES["issues"].removeprefix("|")}|'), false) as good
   from cut)"""
 
+_REASON = rf"""case when not coalesce(quoted, false) then 'broken_quoting' when len(f) <> 12 then 'wrong_field_count' when f[1] = '' then 'invalid_relative_path'
+  when not (f[2] = '' or (ends_with(f[2], '.txt') and not regexp_matches(f[2], '^(?:[/\\]|[A-Za-z]:)'))) then 'invalid_label_path'
+  when f[3] not in ('train', 'val', 'test', 'unspecified') then 'invalid_official_split' when f[4] = '' then 'invalid_group_id'
+  when not regexp_full_match(f[5], '[0-9a-f]{{64}}') then 'invalid_sha256'
+  when not (f[6] = '' or (regexp_full_match(f[6], '[0-9]+') and coalesce(try_cast(f[6] as hugeint) < 18446744073709551616::hugeint, false))) then 'invalid_phash'
+  when not regexp_full_match(f[7], '[0-9]+') then 'invalid_width' when not regexp_full_match(f[8], '[0-9]+') then 'invalid_height' when not regexp_full_match(f[9], '[0-9]+') then 'invalid_n_boxes'
+  when not regexp_full_match(f[10], '{RULES["mapped_classes"].removeprefix("|")}|') then 'invalid_mapped_classes' when f[11] not in ('True', 'False') then 'invalid_empty_label'
+  when not regexp_full_match(f[12], '{RULES["issues"].removeprefix("|")}|') then 'invalid_issues' end"""
+
 SQL = {
+    "p4_reasons": f"with {_CHECKED} select {_REASON} as reason, count(*) as n_lines from cut group by 1",
     "p3_found": f"with {_REFS} select record_id, ref_field from missed",
     "p3_report": f"""
         with {_REFS}

@@ -13,7 +13,7 @@ from quillwort.operators.tiling import to_centre, to_corners
 from quillwort.plans.inputs import MANIFEST, manifest
 from quillwort.session import fresh_path, table
 from quillwort.sources import readers, sinks
-from quillwort.sources.labels import bad_lines, format_box, parse_boxes
+from quillwort.sources.labels import VARIANTS, bad_lines, format_box, line_issues, parse_boxes
 
 
 def f3_hamming(spark: SparkSession, d: str) -> DataFrame:
@@ -42,9 +42,10 @@ def f9_family_group(spark: SparkSession, d: str) -> DataFrame:
 
 
 def f10_export_group(spark: SparkSession, d: str) -> DataFrame:
-    """Groups of the stems that carry an export suffix; a stem without it would fail the job."""
-    rows = table(spark, d, "incoming_images").where(F.col("stem").rlike(r"(?i)\.rf\.[0-9a-f]{32}$"))
-    return rows.select("image_id", grouping.export_group(F.col("stem"), "x_").alias("grp"))
+    """Groups of the stems by their export suffix; null for stems without one, which would fail a job that takes them all."""
+    stem = F.col("stem")
+    group = F.when(stem.rlike(grouping.EXPORT), grouping.export_group(stem, "x_"))
+    return table(spark, d, "incoming_images").select("image_id", group.alias("grp"))
 
 
 def f11_soft_strip(spark: SparkSession, d: str) -> DataFrame:
@@ -75,7 +76,7 @@ def f15_corners(spark: SparkSession, d: str) -> DataFrame:
 
 
 def f19_rounding(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "part").select("p_partkey", F.round("p_retailprice", 1).alias("half_up"), F.floor("p_retailprice").alias("floored"))
+    return table(spark, d, "part").select("p_partkey", F.round("p_retailprice", 1).alias("half_up"), F.bround(F.col("p_retailprice").cast("decimal(18,2)"), 1).cast("double").alias("half_even"), F.floor("p_retailprice").alias("floored"))
 
 
 def f20_json(spark: SparkSession, d: str) -> DataFrame:
@@ -148,9 +149,8 @@ def pr13_slug(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _label_lines(spark: SparkSession, d: str) -> DataFrame:
-    """Lines of documents that begin like a label line."""
-    lines = table(spark, d, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    return lines.where(F.col("line").rlike(r"^[0-9]+ [0-9.]+ [0-9.]+( |$)"))
+    """All lines of documents, read as label lines, whatever they are."""
+    return table(spark, d, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
 
 
 def s4_parse_lines(spark: SparkSession, d: str) -> DataFrame:
@@ -163,9 +163,25 @@ def s4_bad_lines(spark: SparkSession, d: str) -> DataFrame:
     return bad.select(F.explode("issues").alias("issue")).groupBy("issue").agg(F.count("*").alias("n"))
 
 
+def s4_levels(spark: SparkSession, d: str) -> DataFrame:
+    """For each way to read label lines what it makes of the lines of all documents: kept, and with an issue; counters only count."""
+    lines = _label_lines(spark, d)
+    parts = []
+    for name, v in VARIANTS.items():
+        found = line_issues("line", v["arity"], v["checks"], 3, v.get("cls", "int"))
+        bad = F.size(found) > 0
+        kept = ~bad if v["on_error"] != "record" else ~F.arrays_overlap(found, F.array(F.lit("expected_5_fields"), F.lit("not_numeric")))
+        parts.append(F.struct(F.lit(name).alias("level"), kept.alias("kept"), bad.alias("bad")))
+    five = F.size(F.split(F.trim("line"), r"\s+")) == 5
+    for name, counted in (("count_nonblank", F.lit(True)), ("count_five", five)):
+        parts.append(F.struct(F.lit(name).alias("level"), counted.alias("kept"), (~counted).alias("bad")))
+    rows = lines.where(F.trim("line") != "").select(F.explode(F.array(*parts)).alias("x"))
+    return rows.groupBy("x.level").agg(F.count_if("x.kept").alias("n_kept"), F.count_if("x.bad").alias("n_bad"))
+
+
 def s11_tag_strip(spark: SparkSession, d: str) -> DataFrame:
     text = F.regexp_replace("text", r"<[^>]+>", "\n")
-    return table(spark, d, "documents").where(F.contains("text", F.lit("<"))).select("doc_id", text.alias("text"))
+    return table(spark, d, "documents").select("doc_id", text.alias("text"))
 
 
 def k1_csv_round_trip(spark: SparkSession, d: str) -> DataFrame:
@@ -201,12 +217,12 @@ def k4_label_texts(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     f3_hamming, f5_digests, f6_time_key, f7_prefix_group, f9_family_group, f10_export_group, f11_soft_strip, f12_candidate_group, f13_path_split,
     f14_label_text, f15_corners, f19_rounding, f20_json, f21_set_strings, f22_casefold, f23_format, f24_truncate, f25_label_path, pr3_vocabulary,
-    pr4_alias_map, pr5_taxonomies, pr6_partition, pr7_range_check, pr9_escaping_paths, pr10_rebase, pr13_slug, s4_parse_lines, s4_bad_lines,
+    pr4_alias_map, pr5_taxonomies, pr6_partition, pr7_range_check, pr9_escaping_paths, pr10_rebase, pr13_slug, s4_parse_lines, s4_bad_lines, s4_levels,
     s11_tag_strip, k1_csv_round_trip, k4_label_texts, k5_lists, k10_cache,
 )}
 
 _LINES = r"""l as (select doc_id, i - 1 as line_no, line from (select doc_id, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as i from documents)
-  where regexp_matches(line, '^[0-9]+ [0-9.]+ [0-9.]+( |$)')),
+  where trim(line, ' ') <> ''),
 f as (select *, regexp_split_to_array(trim(line, ' '), '\s+') as f from l),
 v as (select doc_id, line_no, f, try_cast(f[1] as int) as cls, try_cast(f[2] as double) as cx, try_cast(f[3] as double) as cy, try_cast(f[4] as double) as w, try_cast(f[5] as double) as h from f),
 k as (select *, len(f) = 5 as right_, cls is not null and cx is not null and cy is not null and w is not null and h is not null as numeric_,
@@ -224,7 +240,7 @@ SQL = {
         select image_id, s[1:2]::int * 3600 + s[3:4]::int * 60 + s[5:6]::int as second from k where s <> ''""",
     "f7_prefix_group": "select image_id, 'g_' || split_part(stem, '_', 1) as grp from incoming_images",
     "f9_family_group": "select image_id, case when starts_with(stem, 'CLIP_') then 'fam_v' || split_part(stem, '_', 1) || '_' || split_part(stem, '_', 2) else 'fam_' || stem end as grp from incoming_images",
-    "f10_export_group": rf"select image_id, 'x_' || lower(regexp_extract(stem, '{_EXPORT}', 1)) as grp from incoming_images where regexp_matches(stem, '(?i)\.rf\.[0-9a-f]{{32}}$')",
+    "f10_export_group": rf"select image_id, case when regexp_matches(stem, '{_EXPORT}') then 'x_' || lower(regexp_extract(stem, '{_EXPORT}', 1)) end as grp from incoming_images",
     "f11_soft_strip": r"""select image_id, coalesce(nullif(regexp_extract(stem, '(?i)^(.+)_(?:jpg|png)\.rf\.[0-9a-f]{32}$', 1), ''), stem) as grp from incoming_images""",
     "f12_candidate_group": rf"""with k as (select record_id, {_KEY.format(c='relative_path')} as path from candidate_records),
         s as (select record_id, path, regexp_replace(regexp_extract(path, '([^/]*)$', 1), '(.)\.[^.]*$', '\1') as stem from k where path is not null),
@@ -238,7 +254,8 @@ SQL = {
     "f15_corners": """with k as (select l_orderkey, max(l_discount) as cx, max(l_tax) as cy, min(l_discount) as w, min(l_tax) as h from lineitem group by 1),
         c as (select l_orderkey, cx - w / 2 as x_min, cy - h / 2 as y_min, cx + w / 2 as x_max, cy + h / 2 as y_max from k)
         select l_orderkey, round(x_min, 6) as x_min, round(y_max, 6) as y_max, round((x_min + x_max) / 2, 6) as cx, round((y_min + y_max) / 2, 6) as cy, round(x_max - x_min, 6) as w, round(y_max - y_min, 6) as h from c""",
-    "f19_rounding": "select p_partkey, round(p_retailprice, 1) as half_up, floor(p_retailprice)::bigint as floored from part",
+    "f19_rounding": """with k as (select *, round(p_retailprice * 100)::bigint as c from part)
+        select p_partkey, round(p_retailprice, 1) as half_up, (c // 10 + (c % 10 > 5 or (c % 10 = 5 and (c // 10) % 2 = 1))::bigint)::double / 10 as half_even, floor(p_retailprice)::bigint as floored from k""",
     "f20_json": """select event_id, (props->>'$.k')::bigint as k, '{"a":"' || event_type || '","b":' || (props->>'$.k') || '}' as packed from events""",
     "f21_set_strings": """select row_id, array_to_string(list_sort(list_distinct(list_filter(list_concat(string_split(coalesce(mapped_class, ''), '+'), string_split(coalesce(lower(original_class), ''), '+')), lambda x: x <> ''))), '+') as classes from manifest""",
     "f22_casefold": "select lower(path) as key, count(*) as n from image_files group by 1",
@@ -262,7 +279,17 @@ SQL = {
     "s4_parse_lines": f"with {_LINES} select doc_id, line_no::int as line_no, cls, cx, cy, w, h, array_to_string(issues, ';') as issues from k where right_ and numeric_",
     "s4_bad_lines": f"""with {_LINES}, i as (select unnest(case when not right_ then ['expected_5_fields'] when not numeric_ then ['not_numeric'] else issues end) as issue from k)
         select issue, count(*) as n from i group by 1""",
-    "s11_tag_strip": "select doc_id, regexp_replace(text, '<[^>]+>', chr(10), 'g') as text from documents where contains(text, '<')",
+    "s4_levels": f"""with {_LINES}, n as (select *, cx is not null and cy is not null and w is not null and h is not null as xy, f[1] is not null and f[1] <> '' as any_,
+          cx between 0 and 1 and cy between 0 and 1 and w between 0 and 1 and h between 0 and 1 as unit, w > 0 and h > 0 as pos, cls >= 0 and cls < 3 as known,
+          cx - w / 2 >= -1e-4::double and cx + w / 2 <= 1 + 1e-4::double and cy - h / 2 >= -1e-4::double and cy + h / 2 <= 1 + 1e-4::double as inside, len(f) >= 5 as five_, len(f) = 5 as is5 from k),
+        g as (select unnest([
+          {{'level': 'lenient', 'k': five_ and numeric_, 'b': not (five_ and numeric_)}}, {{'level': 'replay', 'k': five_ and numeric_, 'b': not (five_ and numeric_)}},
+          {{'level': 'explore', 'k': five_ and xy and unit, 'b': not (five_ and xy and unit)}}, {{'level': 'profile', 'k': five_ and numeric_, 'b': not (five_ and numeric_)}},
+          {{'level': 'donor', 'k': five_ and numeric_, 'b': not (five_ and numeric_ and unit and pos)}}, {{'level': 'candidate', 'k': is5 and numeric_, 'b': not (is5 and numeric_ and unit and pos and known)}},
+          {{'level': 'verify', 'k': is5 and numeric_, 'b': not (is5 and numeric_ and unit)}}, {{'level': 'preflight', 'k': is5 and numeric_ and unit and pos and known and inside, 'b': not (is5 and numeric_ and unit and pos and known and inside)}},
+          {{'level': 'count_nonblank', 'k': true, 'b': false}}, {{'level': 'count_five', 'k': is5, 'b': not is5}}]) as x from n)
+        select x.level as level, count(*) filter (x.k) as n_kept, count(*) filter (x.b) as n_bad from g group by 1""",
+    "s11_tag_strip": "select doc_id, regexp_replace(text, '<[^>]+>', chr(10), 'g') as text from documents",
     "k1_csv_round_trip": "select * from customer",
     "k4_label_texts": f"""with {_LINES}, g as (select *, case when cls = 2 then 0 else cls end as id2 from k where right_ and numeric_ and len(issues) = 0)
         select doc_id, string_agg({_BOX.format('cls')}, chr(10) order by line_no) as text3, string_agg({_BOX.format('id2')}, chr(10) order by line_no) as text2 from g group by 1""",

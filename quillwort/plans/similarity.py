@@ -13,7 +13,7 @@ from quillwort.operators.vectors import cosine_search
 from quillwort.plans.inputs import CANDIDATES, candidates, strip_sql
 from quillwort.session import table
 
-#: Every row whose id this divides is asked; j6 holds them against the rows that are not, the others against all.
+#: Every row whose id this divides is asked, against all rows.
 ASKED = 50
 
 
@@ -22,10 +22,9 @@ def f1_fingerprints(spark: SparkSession, d: str) -> DataFrame:
 
 
 def j6_hamming_nn(spark: SparkSession, d: str) -> DataFrame:
-    """The nearest fingerprint of every 50th embedding (the held-out rows) among all embeddings that are not asked (the train bank)."""
+    """The nearest other fingerprint of every 50th embedding among all embeddings."""
     prints = f1_fingerprints(spark, d)
-    asked = prints.where(F.col("vec_id") % ASKED == 0)
-    return nearest(asked, prints.where(F.col("vec_id") % ASKED != 0), "vec_id", "vec_id", "hash")
+    return nearest(prints.where(F.col("vec_id") % ASKED == 0), prints, "vec_id", "vec_id", "hash", others=True)
 
 
 def _images(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -187,10 +186,20 @@ def _img(t: str, name: str) -> str:
 _IMAGES = f"{_img('accepted_images', 'acc')}, {_img('incoming_images', 'inc')}"
 _COS = "round(list_cosine_similarity(a.embedding::double[], b.embedding::double[]), 4)"
 
+_SEEN = """r as (select image_id as seq, nullif(phash, 0) as hash, true as incumbent from accepted_images union all select image_id, nullif(phash, 0), false from incoming_images),
+  a as (select *, row_number() over (order by seq) as i from r),
+  w as (
+    select 0::bigint as i, null::bigint as seq, []::struct(distance integer, seq bigint, hash bigint)[] as kept, null::struct(distance integer, seq bigint, hash bigint) as near
+    union all
+    select i, seq, case when near is null and hash is not null then list_append(kept, {'distance': 0, 'seq': seq, 'hash': hash}) else kept end, near from (
+      select a.i, a.seq, a.hash, w.kept, case when not a.incumbent and a.hash is not null then
+        list_min(list_transform(list_filter(w.kept, lambda x: bit_count(xor(x.hash, a.hash)) <= 8), lambda x: {'distance': bit_count(xor(x.hash, a.hash))::integer, 'seq': x.seq, 'hash': x.hash})) end as near
+      from w join a on a.i = w.i + 1))"""
+
 SQL = {
     "f1_fingerprints": f"with {_PRINTS} select vec_id, hash from prints",
     "j6_hamming_nn": f"""with {_PRINTS} select a.vec_id, arg_min(b.vec_id, (bit_count(xor(a.hash, b.hash)), b.vec_id)) as nearest_id, min(bit_count(xor(a.hash, b.hash)))::int as distance
-        from prints a join prints b on a.vec_id % 50 = 0 and b.vec_id % 50 <> 0 group by 1""",
+        from prints a join prints b on a.vec_id % 50 = 0 and b.vec_id <> a.vec_id group by 1""",
     "j7_hamming_bank": f"""with {_IMAGES} select a.image_id, arg_min(b.image_id, (bit_count(xor(a.hash, b.hash)), b.image_id)) filter (a.hash is not null and b.hash is not null) as nearest_id,
         min(bit_count(xor(a.hash, b.hash)))::int as distance from inc a cross join acc b where a.image_id % 50 = 0 group by 1""",
     "j8_cosine_nn": f"select a.vec_id, arg_min(b.vec_id, (-{_COS}, b.vec_id)) as neighbour, max({_COS}) as cosine from embeddings a join embeddings b on a.vec_id <> b.vec_id where a.vec_id % 50 = 0 group by 1",
@@ -205,6 +214,8 @@ SQL = {
         from inc left join k using (digest) left join f using (digest) where k.i is not null or f.i < image_id""",
     "a8_exact_dupes": "with g as (select count(*) as n from documents where text is not null group by md5(text) having count(*) > 1) select count(*) as n_groups, coalesce(sum(n - 1), 0)::bigint as redundant from g",
     "a8_dupe_groups": "select md5(text) as digest, count(*) as n, min(doc_id) as first from documents where text is not null group by 1 having count(*) > 1",
+    "o6_first_seen": f"with recursive {_SEEN} select seq, near.seq as matched_seq, near.distance::int as distance from w where near is not null",
+    "w4_keep_first": f"with recursive {_SEEN} select seq as image_id from w where i > 0 and near is null",
     "v8_cross_split_bytes": """select sha256(text) as digest, count(*) as n, string_agg(distinct source, '+' order by source) as splits from documents
         where text is not null and source is not null group by 1 having count(distinct source) > 1""",
     "j12_tile_join": f"with {_BOXES} select l_orderkey, l_linenumber, col::int as col, row::int as row, round(fraction, 6) as fraction from h",

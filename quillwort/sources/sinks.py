@@ -14,10 +14,10 @@ def _mode(force: bool) -> str:
 
 
 def write_csv(df: DataFrame, path: str, force: bool = False) -> None:
-    """A CSV with header; an empty table still has one."""
+    """A CSV with header, values as they are; an empty table still has one."""
     flat = [F.to_json(c).alias(c) if t.startswith(("map", "struct", "array")) else F.col(c) for c, t in df.dtypes]
     out = df.select(*flat)
-    (out.coalesce(1) if out.isEmpty() else out).write.mode(_mode(force)).csv(path, header=True)
+    (out.coalesce(1) if out.isEmpty() else out).write.mode(_mode(force)).csv(path, header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
 def write_table(df: DataFrame, path: str, by: list[str] | None = None, force: bool = False) -> None:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from typing import Any
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,23 +42,23 @@ def cache_writer(path: str, key: str, compute: Callable[[DataFrame], DataFrame])
 def thin_frames(frames: DataFrame, clip: str, seq: str, fingerprint: str, threshold: int = 8) -> DataFrame:
     """(clip, seq) of the frames of a stream that are kept: those not within ``threshold`` bits of a kept frame of their clip.
 
-    The state of a clip is the fingerprints kept so far, in order of arrival; within a batch frames are taken by seq.
+    The state of a clip is the fingerprints kept so far, in order of arrival, 8 bytes each; it grows with what is kept
+    of the clip, not with its frames, so clips should be cut where they get long. Within a batch frames are taken by seq.
     Frames without a fingerprint are kept.
     """
 
     def run(key: tuple[Any, ...], batches: Iterator[pd.DataFrame], state: Any) -> Iterator[pd.DataFrame]:
-        kept = list(state.get[0]) if state.exists else []
+        kept = np.array(state.get[0] if state.exists else [], np.int64)
         rows = pd.concat(list(batches)).sort_values(seq)
         out = []
         for n, h in zip(rows[seq], rows[fingerprint], strict=True):
             if pd.isna(h):
                 out.append(n)
                 continue
-            value = int(h) & 0xFFFFFFFFFFFFFFFF
-            if all((value ^ (k & 0xFFFFFFFFFFFFFFFF)).bit_count() > threshold for k in kept):
-                kept.append(int(h))
+            if (np.bitwise_count((kept ^ np.int64(int(h))).view(np.uint64)) > threshold).all():
+                kept = np.append(kept, np.int64(int(h)))
                 out.append(n)
-        state.update((kept,))
+        state.update((kept.tolist(),))
         yield pd.DataFrame({clip: [key[0]] * len(out), seq: out})
 
     chosen = frames.select(F.col(clip).cast("string").alias(clip), F.col(seq).cast("long").alias(seq), F.col(fingerprint).cast("long").cast("string").alias(fingerprint))
