@@ -6,6 +6,7 @@ import re
 import unicodedata
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -35,27 +36,26 @@ def words(text: str | None) -> list[str]:
     if text.isascii():
         return found
     # \w also takes numbers that are neither letters nor digits, and marks that Python counts as alphanumeric
-    return [w for f in found for w in _strict(f)]
+    return [w for f in found for w in ((f,) if f.isascii() else _strict(f))]
 
 
-def _strict(run: str) -> list[str]:
-    if all(unicodedata.category(c)[0] == "L" or unicodedata.category(c) == "Nd" for c in run):
-        return [run]
-    spaced = "".join(c if unicodedata.category(c)[0] == "L" or unicodedata.category(c) == "Nd" else " " for c in run)
-    return spaced.split()
+@lru_cache(1 << 16)
+def _strict(run: str) -> tuple[str, ...]:
+    kept = [c if unicodedata.category(c)[0] == "L" or unicodedata.category(c) == "Nd" else " " for c in run]
+    return tuple("".join(kept).split())
 
 
 def edit_distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Edit distances of rows of words, all pairs of rows at once."""
     n, w = a.shape
-    before = np.tile(np.arange(w + 1), (n, 1))
+    a, b = np.ascontiguousarray(a.T), np.ascontiguousarray(b.T)
+    before = [np.full(n, j, np.int16) for j in range(w + 1)]
     for i in range(w):
-        now = np.empty_like(before)
-        now[:, 0] = i + 1
+        now = [np.full(n, i + 1, np.int16)]
         for j in range(w):
-            now[:, j + 1] = np.minimum(np.minimum(now[:, j], before[:, j + 1]) + 1, before[:, j] + (a[:, i] != b[:, j]))
+            now.append(np.minimum(np.minimum(now[j], before[j + 1]) + np.int16(1), before[j] + (a[i] != b[j])))
         before = now
-    return before[:, w]
+    return before[w].astype(np.int64)
 
 
 def _numbers(codes: np.ndarray, n: int) -> np.ndarray:
@@ -103,6 +103,8 @@ class WindowIndex:
         places = window - self.run + 1
         runs = np.stack([_numbers(w, self.run) for w in self.windows]).ravel() if len(self.windows) else np.empty(0, np.int64)
         order = np.argsort(runs, kind="stable")
+        self.seen = np.zeros(1 << 20, bool)  # whether any run has these lowest bits; most runs of a text have none of them
+        self.seen[runs & ((1 << 20) - 1)] = True
         self.runs, self.run_window, self.run_place = runs[order], (order // places).astype(np.int32), (order % places).astype(np.int32)
 
     def keys(self, windows: np.ndarray, repetition: int) -> np.ndarray:
@@ -122,8 +124,12 @@ class WindowIndex:
     def hits(self, ids: np.ndarray) -> np.ndarray:
         """Whether the run of words that begins at each place of ``ids`` stands in an item."""
         numbers = _numbers(ids, self.run)
-        at = np.searchsorted(self.runs, numbers)
-        return self.runs[np.minimum(at, len(self.runs) - 1)] == numbers if len(self.runs) else np.zeros(len(numbers), bool)
+        out = self.seen[numbers & ((1 << 20) - 1)]
+        places = np.nonzero(out)[0]
+        if len(places):
+            at = np.searchsorted(self.runs, numbers[places])
+            out[places] = self.runs[np.minimum(at, len(self.runs) - 1)] == numbers[places]
+        return out
 
     def starts(self, ids: np.ndarray, doc: np.ndarray, hits: np.ndarray) -> np.ndarray:
         """Where windows begin that lie in one document and hold a run of an item."""
@@ -131,18 +137,26 @@ class WindowIndex:
         n = np.concatenate([[0], np.cumsum(hits)])
         return begins[(doc[begins] == doc[begins + self.window - 1]) & (n[begins + self.window - self.run + 1] > n[begins])]
 
-    def _candidates(self, ids: np.ndarray, starts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(start, item window) of windows that agree on a sample of the walk."""
+    def _candidates(self, ids: np.ndarray, starts: np.ndarray) -> Iterator[np.ndarray]:
+        """Windows that agree on a sample of the walk, as numbers of start and item window, once for all repetitions of a block."""
         for low in range(0, len(starts), AT_ONCE):
             here = starts[low : low + AT_ONCE]
             windows = ids[here[:, None] + np.arange(self.window)]
+            met, size = [], 0
             for r, (keys, order) in enumerate(self.tables):
                 probe = self.keys(windows, r)
                 first, last = np.searchsorted(keys, probe, "left"), np.searchsorted(keys, probe, "right")
-                yield from _spans(here, first, last, order)
-
-    def _sharing(self, ids: np.ndarray, doc: np.ndarray, hits: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(start, item window) of windows that share a run at places no further apart than the edits allow."""
+                for start, window in _spans(here, first, last, order):
+                    met.append(start.astype(np.int64) * len(self.windows) + window)
+                    size += len(start)
+                    if size > 8 * AT_ONCE:
+                        met = [np.unique(np.concatenate(met))]
+                        size = len(met[0])
+            if met:
+                yield np.unique(np.concatenate(met))
+
+    def _sharing(self, ids: np.ndarray, doc: np.ndarray, hits: np.ndarray) -> Iterator[np.ndarray]:
+        """Likewise the windows that share a run at places no further apart than the edits allow."""
         at = np.nonzero(hits)[0]
         numbers = _numbers(ids, self.run)[at]
         first, last = np.searchsorted(self.runs, numbers, "left"), np.searchsorted(self.runs, numbers, "right")
@@ -152,14 +166,13 @@ class WindowIndex:
                 inside = (self.run_place[posting] + shift >= 0) & (self.run_place[posting] + shift <= self.window - self.run)
                 inside &= (start >= 0) & (start + self.window <= len(ids))
                 inside[inside] = doc[start[inside]] == doc[start[inside] + self.window - 1]
-                yield start[inside], self.run_window[posting[inside]]
+                yield np.unique(start[inside].astype(np.int64) * len(self.windows) + self.run_window[posting[inside]])
 
     def search(self, ids: np.ndarray, doc: np.ndarray, exact: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(start, item, edits) of windows of ``ids`` within max_edits of an item's window; ``doc`` tells where documents end."""
         hits = self.hits(ids)
         found = []
-        for starts, windows in self._sharing(ids, doc, hits) if exact else self._candidates(ids, self.starts(ids, doc, hits)):
-            pairs = np.unique(starts.astype(np.int64) * len(self.windows) + windows)
+        for pairs in self._sharing(ids, doc, hits) if exact else self._candidates(ids, self.starts(ids, doc, hits)):
             for low in range(0, len(pairs), AT_ONCE):
                 start, other = np.divmod(pairs[low : low + AT_ONCE], len(self.windows))
                 a, b = ids[start[:, None] + np.arange(self.window)], self.windows[other]
