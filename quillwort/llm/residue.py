@@ -302,8 +302,8 @@ def _spans(line: str) -> Iterator[tuple[int, int]]:
 
 
 def line_keys(text: Column) -> Column:
-    """A hash of each line in normal form: lower case, digits as 0, runs of white space as one blank; 0 for blank lines."""
-    norm = F.regexp_replace(F.regexp_replace(F.lower(text), r"\d+", "0"), r"(?U)[^\S\n]+", " ")
+    """A hash of each line in normal form: lower case, each run of digits and white space as one blank; 0 for lines of nothing else."""
+    norm = F.regexp_replace(F.lower(text), r"(?U)[\d\s&&[^\n]]+", " ")
     return F.transform(F.split(norm, "\n"), lambda x: F.when(F.trim(x) == "", F.lit(0).cast("long")).otherwise(F.xxhash64(F.trim(x))))
 
 
