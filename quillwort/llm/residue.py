@@ -82,7 +82,7 @@ ERROR_FORMS = (
     ("try|refresh|reload|slow down", r"(?:^|[.;:,!?–—-]\s*|\bplease |\band )(?:try|retry)(?: again| it)?(?: (?:later|shortly|soon|in (?:a few|some|\d+) (?:seconds|minutes|moments|hours)))\b|(?:^|[.;:,!?–—-]\s*|\bplease |\band )try again\W*$|(?:^|\bplease |[.;:,]\s*)(?:refresh|reload) (?:the|this) page\b|\brefresh and try again\b|^\W*slow down and retry\b"),
     ("back|return", r"\bwe(?:'ll| will)? (?:be back|return) (?:shortly|soon|online)\b|\bwill return (?:shortly|soon)\W*$|\bcheck back (?:shortly|soon|later)\b"),
     ("contact", r"(?:^|\bplease |\bor |[.;:,]\s*)contact (?:the |your |our )?(?:site |system |web ?)?(?:administrator|admin|webmaster|support team|help ?desk)\b"),
-    ("4|5", r"^\W*(?:http(?:/\d(?:\.\d)?)?|error|fehler|erreur|fout|kesalahan|status|code)\W{0,3}(?:error|code|status)?\W{0,3}[45]\d\d\b(?! (?:boxes|images|files|rows|m\b|km\b|items))"),
+    ("http|error|fehler|erreur|fout|kesalahan|status|code", r"^\W*(?:http(?:/\d(?:\.\d)?)?|error|fehler|erreur|fout|kesalahan|status|code)\W{0,3}(?:error|code|status)?\W{0,3}[45]\d\d\b(?! (?:boxes|images|files|rows|m\b|km\b|items))"),
     ("40|41|42|50", r"^\W*(?:40[0-9]|41[0-9]|42[0-9]|50[0-9])\s*(?:[|:–—-] ?[a-z]|error\b|not found|forbidden|bad (?:gateway|request)|service unavailable|internal server|gateway time|unauthori[sz]ed|too many)|\bhttp(?:/\d(?:\.\d)?)? (?:error )?[45]\d\d (?:not found|forbidden|bad (?:gateway|request)|service unavailable|internal server|gateway time|unauthori[sz]ed|too many)"),
     ("found|denied|forbidden|authori|error|gateway|unavailable|request|required|time", r"^\W*(?:.{0,40}[|>:–—-] ?|\S+(?: \S+){0,2} › )?(?:(?:page |file )?not found|access (?:denied|forbidden)|forbidden|unauthori[sz]ed|internal server error|bad gateway|service (?:temporarily )?unavailable|gateway time-?out(?: while .{1,30})?|too many requests|permission denied|bad request|connection (?:refused|reset|timed out)|request timed out)(?=\W*$|, please)"),
     ("too many requests|gateway time|err_|upstream", r"\b(?:too many requests|gateway time-?out|err_[a-z]{3,}|upstream gave no answer)\b"),
@@ -182,6 +182,7 @@ _QUOTE = re.compile(r"\"[^\"\n]{1,80}\"|“[^”\n]{1,80}”|„[^“”\n]{1,80
 _MARKS = re.compile(r"[\u0300-\u036f]+")
 _LETTERS = re.compile(r"[a-z]+")
 _NUMBERED = re.compile(r"\S*\d\S*")
+_DIGIT = re.compile(r"\d")
 _MAYBE_FIELD = re.compile(r"[{}\[<«@#?]|__|%\w|%\(|\$\(|\*\|")
 _SENTENCE = re.compile(r"(?<=[.!?…])\s+")
 _DAMAGED = re.compile(r"[ÂÃâ][\u0080-¿€‚-™Œ-ƒ]{1,2}")
@@ -227,7 +228,7 @@ def _pseudo_latin(said: str) -> bool:
         return False
     if _FUNCTION.isdisjoint(rough) and _latin_words(_LETTERS.findall(said)):
         return True
-    return len(rough) > 6 and any(c.isdigit() for c in said) and any(_latin_words(_LETTERS.findall(run)) for run in _NUMBERED.split(said))
+    return len(rough) > 6 and bool(_DIGIT.search(said)) and any(_latin_words(_LETTERS.findall(run)) for run in _NUMBERED.split(said))
 
 
 def _reported(kind: str, said: str, end: int) -> bool:
